@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagegrid.llm.decontaminate import contained_items
 from pagegrid.llm.exact_dedup import exact_dedup
+from pagegrid.llm.packing import pack
+from pagegrid.llm.repeats import repeated_passages
 from pagegrid.llm.simhash import near_dedup
 from pagegrid.runtime import attach_workers
 
@@ -43,3 +46,59 @@ ORACLES["op1_exact_dedup"] = r"""
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "shingles", "matched")
+
+
+ORACLES["op4_decontaminate"] = r"""
+    WITH split AS (
+        SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+    ), worded AS (
+        SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM split
+    ), widths AS (
+        SELECT id, w, least(5, len(w)) AS k FROM worded WHERE kind = 'b' AND len(w) > 0
+    ), items AS (
+        SELECT DISTINCT id, k, array_to_string(w[i : i + k - 1], ' ') AS s FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM widths)
+    ), docs AS (
+        SELECT DISTINCT id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+        FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, (SELECT DISTINCT k FROM items) WHERE kind = 'd')
+    ), sizes AS (SELECT id, count(*) AS shingles FROM items GROUP BY id)
+    SELECT docs.id AS doc_id, items.id AS item_id, shingles, count(*) AS matched
+    FROM docs JOIN items USING (k, s) JOIN sizes ON sizes.id = items.id
+    GROUP BY docs.id, items.id, shingles HAVING count(*) >= 0.8 * shingles
+"""
+
+
+@query
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents")).select("doc_id", "start_word", "end_word")
+
+
+ORACLES["op8_repeated_passages"] = r"""
+    WITH worded AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), passages AS (
+        SELECT doc_id, i - 1 AS a, sha256(array_to_string(w[i : i + 49], ' ')) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM worded)
+    ), twice AS (
+        SELECT doc_id, a FROM (SELECT doc_id, a, count(*) OVER (PARTITION BY s) AS n FROM passages) WHERE n > 1
+    ), marked AS (
+        SELECT doc_id, a, CASE WHEN a <= lag(a) OVER (PARTITION BY doc_id ORDER BY a) + 50 THEN 0 ELSE 1 END AS new FROM twice
+    ), islands AS (
+        SELECT doc_id, a, sum(new) OVER (PARTITION BY doc_id ORDER BY a) AS n FROM marked
+    )
+    SELECT doc_id, CAST(min(a) AS INTEGER) AS start_word, CAST(max(a) + 50 AS INTEGER) AS end_word FROM islands GROUP BY doc_id, n
+"""
