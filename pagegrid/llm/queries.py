@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pagegrid.llm import language, quality
 from pagegrid.llm.decontaminate import contained_items
 from pagegrid.llm.exact_dedup import exact_dedup
 from pagegrid.llm.packing import pack
 from pagegrid.llm.repeats import repeated_passages
+from pagegrid.llm.sampling import remainder
 from pagegrid.llm.simhash import near_dedup
 from pagegrid.runtime import attach_workers
 
@@ -102,3 +105,18 @@ ORACLES["op8_repeated_passages"] = r"""
     )
     SELECT doc_id, CAST(min(a) AS INTEGER) AS start_word, CAST(max(a) + 50 AS INTEGER) AS end_word FROM islands GROUP BY doc_id, n
 """
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+    held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
