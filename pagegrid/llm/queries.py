@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagegrid.llm import language, quality
+from pagegrid.llm import language, quality, token_counts
 from pagegrid.llm.decontaminate import contained_items
 from pagegrid.llm.exact_dedup import exact_dedup
 from pagegrid.llm.packing import pack
 from pagegrid.llm.repeats import repeated_passages
 from pagegrid.llm.sampling import remainder
 from pagegrid.llm.simhash import near_dedup
-from pagegrid.runtime import attach_workers
+from pagegrid.llm.url_filter import judge
+from pagegrid.llm.warc import round_trip
+from pagegrid.runtime import attach_workers, scratch_path, scratch_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +122,43 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language.identify(docs, language.fit(docs))
     return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; blank ones go; the end of the text is then counted too; a batch comes again."""
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    counted = scratch_table(token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), "byte_bpe_50k"), "counted")
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit("load", token_counts.inserts(counted))
+    rollup.commit("blank", token_counts.deletes(counted.where("blank")))
+    rollup.commit("ends", token_counts.revisions(counted.where("not blank"), F.col("tokens") + 1))
+    rollup.commit("load", token_counts.inserts(counted))
+    return rollup.totals()
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc"] = r"""
+    WITH hashed AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+    ), letters AS (
+        SELECT h, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST(
+            256 * (strpos('0123456789abcdef', substr(h || '00', (5 * i) // 4 + 1, 1)) - 1) + 16 * (strpos('0123456789abcdef', substr(h || '00', (5 * i) // 4 + 2, 1)) - 1)
+            + strpos('0123456789abcdef', substr(h || '00', (5 * i) // 4 + 3, 1)) - 1 AS BIGINT) >> CAST(7 - (5 * i) % 4 AS BIGINT)) & 31), 1)), '') AS d
+        FROM (SELECT DISTINCT h FROM hashed)
+    )
+    SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM hashed JOIN letters USING (h)
+"""
