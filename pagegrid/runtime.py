@@ -52,12 +52,18 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(*, keep: int = 0) -> None:
-    """Delete scratch tables, oldest first, but for the last `keep` ones.
+def scratch_mark() -> set[str]:
+    """The scratch tables there are now; see release_scratch."""
+    return set(_scratch)
+
+
+def release_scratch(mark: set[str] = frozenset(), keep: int = 0) -> None:
+    """Delete the scratch tables made since `mark`, but for the last `keep` ones.
 
     Only for results that have been written out: a DataFrame over a released table fails.
     """
-    for path in list(_scratch)[: len(_scratch) - keep]:
+    made = [path for path in _scratch if path not in mark]
+    for path in made[: len(made) - keep]:
         spark = _scratch.pop(path)
         try:
             jvm = spark.sparkContext._jvm
