@@ -1,0 +1,177 @@
+"""Cells of ruled pages: intersections, rectangles, the smallest of them, and their text."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from pagegrid.functions.geometry import isclose, orientation, raster, snap_to_grid, strip
+from pagegrid.operators.graph import centroids
+from pagegrid.schema import BOX, P
+
+
+def read_objects(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Without exact repetitions; of these the one that comes first in the stream (seq) stays."""
+    return df.groupBy(*P, *columns).agg(F.min("seq").alias("seq"))
+
+
+def read_segments(df: DataFrame) -> DataFrame:
+    return read_objects(df.withColumn("orientation", orientation(*map(F.col, BOX))), ["kind", *BOX, "orientation"])
+
+
+def clean_coords(df: DataFrame, pages: DataFrame, columns: list[str], tol: float = 3.0) -> DataFrame:
+    """Move both corners to the centroid of their cluster, down to the grid, and drop what is then repeated."""
+    for a, b in (("x0", "y0"), ("x1", "y1")):
+        found = centroids(df, P, a, b, tol)
+        df = df.join(found, [*P, a, b]).withColumns({a: F.col("cx"), b: F.col("cy")}).drop("cx", "cy")
+    df = df.join(pages.select(*P, F.col("width").alias("_w"), F.col("height").alias("_h")), P)
+    df = df.withColumns({c: snap_to_grid(F.col(c), F.col("_w" if c[0] == "x" else "_h")) for c in BOX})
+    return read_objects(df, columns)
+
+
+def intersections(segments: DataFrame, keys: list[str] = P) -> DataFrame:
+    """keys, x, y: where a vertical meets a horizontal; only a line's first fixed coordinate counts."""
+    h = segments.where("orientation = 'horizontal'").select(*keys, F.col("x0").alias("h0"), F.col("x1").alias("h1"), F.col("y0").alias("y")).distinct()
+    v = segments.where("orientation = 'vertical'").select(*keys, F.col("y0").alias("v0"), F.col("y1").alias("v1"), F.col("x0").alias("x")).distinct()
+    meet = F.col("x").between(F.col("h0"), F.col("h1")) & F.col("y").between(F.col("v0"), F.col("v1"))
+    return h.join(v, keys).where(meet).select(*keys, "x", "y").distinct()
+
+
+def rectangles(points: DataFrame, keys: list[str] = P) -> DataFrame:
+    """keys, x1, y1, x2, y2: all rectangles whose corners are points; sides need not be drawn."""
+    a, b = points.select(*keys, F.col("x").alias("x1"), "y"), points.select(*keys, F.col("x").alias("x2"), "y")
+    pairs = a.join(b, [*keys, "y"]).where("x1 < x2")
+    low, high = pairs.withColumnRenamed("y", "y1"), pairs.withColumnRenamed("y", "y2")
+    return low.join(high, [*keys, "x1", "x2"]).where("y1 < y2").select(*keys, "x1", "y1", "x2", "y2")
+
+
+def level0(rects: DataFrame, keys: list[str] = P) -> DataFrame:
+    """Rectangles that contain no other.
+
+    Only those least in each direction, given their other three sides, can be; the rest
+    contain one of these. What is left is compared within its page.
+    """
+    kept = rects.distinct()
+    for fixed, side, best in ((["x1", "y1", "x2"], "y2", F.min), (["x1", "y1", "y2"], "x2", F.min), (["x1", "x2", "y2"], "y1", F.max), (["y1", "x2", "y2"], "x1", F.max)):
+        kept = kept.withColumn("_best", best(side).over(Window.partitionBy(*keys, *fixed))).where(F.col(side) == F.col("_best")).drop("_best")
+    o, i = kept.alias("o"), kept.alias("i")
+    same = [F.col(f"o.{k}") == F.col(f"i.{k}") for k in keys]
+    inside = (F.col("o.x1") <= F.col("i.x1")) & (F.col("o.y1") <= F.col("i.y1")) & (F.col("o.x2") >= F.col("i.x2")) & (F.col("o.y2") >= F.col("i.y2"))
+    other = (F.col("o.x1") != F.col("i.x1")) | (F.col("o.y1") != F.col("i.y1")) | (F.col("o.x2") != F.col("i.x2")) | (F.col("o.y2") != F.col("i.y2"))
+    return o.join(i, [*same, inside, other], "left_anti")
+
+
+def empty_rectangles(rects: DataFrame, points: DataFrame, keys: list[str] = P) -> DataFrame:
+    """Rectangles without an intersection strictly inside."""
+    r, p = rects.alias("r"), points.alias("p")
+    inside = (F.col("p.x") > F.col("r.x1")) & (F.col("p.x") < F.col("r.x2")) & (F.col("p.y") > F.col("r.y1")) & (F.col("p.y") < F.col("r.y2"))
+    return r.join(p, [*(F.col(f"r.{k}") == F.col(f"p.{k}") for k in keys), inside], "left_anti")
+
+
+def levels(rects: DataFrame) -> DataFrame:
+    """All rectangles with their level: 0 if they contain none, else one more than the highest contained.
+
+    A page's chain needs its rectangles in order of area, so pages are dealt to Python.
+    """
+
+    def per_page(df):
+        import numpy as np
+
+        df = df.drop_duplicates().reset_index(drop=True)
+        x1, y1, x2, y2 = (df[c].to_numpy() for c in ("x1", "y1", "x2", "y2"))
+        level = np.zeros(len(df), int)
+        order = np.argsort((x2 - x1) * (y2 - y1), kind="stable")
+        for n, i in enumerate(order):
+            small = order[:n]
+            held = small[(x1[small] >= x1[i]) & (y1[small] >= y1[i]) & (x2[small] <= x2[i]) & (y2[small] <= y2[i])]
+            if len(held):
+                level[i] = level[held].max() + 1
+        return df.assign(level=level)
+
+    schema = "doc_id string, page_number int, x1 double, y1 double, x2 double, y2 double, level int"
+    return rects.select(*P, "x1", "y1", "x2", "y2").groupBy(*P).applyInPandas(per_page, schema)
+
+
+def joined_text(order: Column, text: Column, separator: str = "") -> Column:
+    """Aggregate: texts in the order of a struct, so that no shuffle changes it."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), text.alias("t")))), lambda x: x["t"]), separator)
+
+
+def cell_text(boxes: DataFrame, chars: DataFrame, tol: float = 3.0, lattice: bool = False) -> DataFrame:
+    """Boxes (P, x0, y0, x1, y1) with the text of the chars inside, by tol; '' without any.
+
+    Text follows the stream, or for the lattice goes from top left to bottom right and is
+    stripped. A char may be in several cells.
+    """
+    c = chars.select(*P, "text", "seq", *(F.col(n).alias(f"c_{n}") for n in BOX))
+    inside = (F.col("c_x0") >= F.col("x0") - tol) & (F.col("c_x1") <= F.col("x1") + tol) & (F.col("c_y0") >= F.col("y0") - tol) & (F.col("c_y1") <= F.col("y1") + tol)
+    order = F.struct(-F.col("c_y0"), F.col("c_x0"), F.col("seq")) if lattice else F.struct("seq")
+    b = boxes.select(*P, *BOX).distinct()
+    held = b.join(c, P).where(inside).groupBy(*P, *BOX).agg(joined_text(order, F.col("text")).alias("text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return b.join(held, [*P, *BOX], "left").withColumn("text", strip(text) if lattice else text)
+
+
+def cells(pages: DataFrame, chars: DataFrame, segments: DataFrame, tol: float = 3.0, clean_chars: bool = True) -> DataFrame:
+    """P, cell_no, x0, y0, x1, y1, width, height, text of ruled pages; cells count by x0, then from the top."""
+    chars = read_objects(chars, ["text", *BOX])
+    if clean_chars:
+        chars = clean_coords(chars, pages, ["text", *BOX], tol)
+    segments = clean_coords(read_segments(segments), pages, ["kind", *BOX, "orientation"], tol)
+    boxes = level0(rectangles(intersections(segments))).select(*P, F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"))
+    found = cell_text(boxes, chars, tol)
+    number = F.row_number().over(Window.partitionBy(*P).orderBy("x0", F.desc("y0"), "x1", "y1")) - 1
+    return found.select(*P, number.alias("cell_no"), *BOX, F.abs(F.col("x1") - F.col("x0")).alias("width"), F.abs(F.col("y1") - F.col("y0")).alias("height"), "text")
+
+
+def rect_cells(rects: DataFrame, chars: DataFrame, tol: float = 3.0) -> DataFrame:
+    """Each drawn rectangle as a cell of its own."""
+    return cell_text(rects.select(*P, *BOX), chars, tol, lattice=True)
+
+
+def corner_cells(segments: DataFrame) -> DataFrame:
+    """Cells between neighbouring edges with equal corners (exploratory)."""
+    flat = segments.where("orientation = 'horizontal'").select(*P, *BOX).distinct()
+    up = segments.where("orientation = 'vertical'").select(*P, *BOX).distinct()
+    over_h = Window.partitionBy(*P, "x0", "x1").orderBy("y0")
+    over_v = Window.partitionBy(*P, "y0", "y1").orderBy("x0")
+    h = flat.withColumn("next", F.lead("y0").over(over_h)).where("next is not null").select(*P, "x0", "x1", F.col("y0"), F.col("next").alias("y1"))
+    v = up.withColumn("next", F.lead("x0").over(over_v)).where("next is not null").select(*P, "x0", F.col("next").alias("x1"), "y0", "y1")
+    return h.join(v, [*P, *BOX], "left_semi")
+
+
+def raster_corners(boxes: DataFrame, pages: DataFrame) -> DataFrame:
+    """Row and column of both corners in a bitmap of the page."""
+    at = [raster(F.col(f"x{i}"), F.col(f"y{i}"), F.col("width"), F.col("height")).alias(f"corner{i}") for i in (0, 1)]
+    return boxes.select(*P, *BOX).join(pages.select(*P, "width", "height"), P).select(*P, *BOX, *at)
+
+
+def groups(found: DataFrame, kind: str = "row", tol: float = 1.0) -> DataFrame:
+    """Rows (or columns) of adjacent cells: P, group_no, box, length, cells, texts.
+
+    Cells go by the fixed coordinate, then along it; a group ends where the fixed
+    coordinate changes by tol or more, or where a cell does not begin where the last ended.
+    Rows count from the top, columns from the left.
+    """
+    if kind not in ("row", "column"):
+        raise ValueError("kind must be 'row' or 'column'")
+    fixed, along, end = ("y0", "x0", "x1") if kind == "row" else ("x0", "y0", "y1")
+    over = Window.partitionBy(*P).orderBy(fixed, along, "cell_no")
+    last = F.lag(F.struct(fixed, end)).over(over)
+    same = (F.abs(F.col(fixed) - last[fixed]) < tol) & isclose(last[end], F.col(along), 1.0)
+    marked = found.withColumn("_new", last.isNull() | ~same)
+    marked = marked.withColumn("_g", F.sum(F.when(F.col("_new"), 1).otherwise(0)).over(over.rowsBetween(Window.unboundedPreceding, 0)))
+    cell = F.struct(F.col(along).alias("o"), F.col("cell_no").alias("n"), F.struct(*BOX, "text").alias("c"))
+    got = marked.groupBy(*P, "_g").agg(
+        F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"),
+        F.count("*").cast("int").alias("length"), F.transform(F.array_sort(F.collect_list(cell)), lambda x: x["c"]).alias("cells"),
+    )
+    order = [F.desc("y0"), "x0", "_g"] if kind == "row" else ["x0", "y0", "_g"]
+    number = F.row_number().over(Window.partitionBy(*P).orderBy(*order)) - 1
+    return got.select(*P, number.alias("group_no"), *BOX, "length", "cells", F.transform("cells", lambda x: x["text"]).alias("texts"))
+
+
+def document_order(found: DataFrame, kind: str = "cell") -> DataFrame:
+    """With an ordinal over the document: cells by page, from the top, by x0; rows from the top; columns by x0."""
+    order = {"cell": [F.desc("y0"), "x0"], "row": [F.desc("y0"), "x0"], "column": ["x0", "y0"]}[kind]
+    return found.withColumn("ordinal", F.row_number().over(Window.partitionBy("doc_id").orderBy("page_number", *order, "x1", "y1")) - 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagegrid.runtime import scratch_table
@@ -41,3 +41,37 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
         before = after
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def _page_components(nodes: DataFrame, links: DataFrame, keys: list[str], node: str) -> DataFrame:
+    """keys, node, component: components within pages; links has keys, a, b. Single nodes are their own."""
+    tag = F.struct(*keys, F.col("a")).alias("a"), F.struct(*keys, F.col("b")).alias("b")
+    found = connected_components(links.select(*tag)).select("node.*", F.col("component.a").alias("component"))
+    found = found.withColumnRenamed(found.columns[len(keys)], node)
+    return nodes.join(found, [*keys, node], "left").withColumn("component", F.coalesce("component", node))
+
+
+def epsilon_clusters(points: DataFrame, keys: list[str], x: str = "x", y: str = "y", eps: float = 3.0) -> DataFrame:
+    """keys, x, y, weight, component: distinct points linked when at most eps apart.
+
+    These are the clusters of DBSCAN with one point as its least. Points meet only those
+    of their own and the eight neighbouring squares of side eps.
+    """
+    spots = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("weight"))
+    spots = spots.withColumns({"bx": F.floor(F.col("x") / eps), "by": F.floor(F.col("y") / eps)})
+    near = spots.select(*keys, F.col("x").alias("x2"), F.col("y").alias("y2"), "bx", "by")
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    near = near.withColumn("s", F.explode(steps)).withColumns({"bx": F.col("bx") + F.col("s.i"), "by": F.col("by") + F.col("s.j")}).drop("s")
+    a, b = F.struct("x", "y"), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    close = (F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2 <= eps * eps
+    links = spots.join(near, [*keys, "bx", "by"]).where(close & (a > b)).select(*keys, a.alias("a"), b.alias("b"))
+    nodes = spots.select(*keys, F.struct("x", "y").alias("node"), "weight")
+    return _page_components(nodes, links, keys, "node").select(*keys, "node.x", "node.y", "weight", "component")
+
+
+def centroids(points: DataFrame, keys: list[str], x: str = "x", y: str = "y", eps: float = 3.0) -> DataFrame:
+    """keys, x, y, cx, cy: the mean of all points of the cluster, repeated ones too."""
+    found = epsilon_clusters(points, keys, x, y, eps)
+    over = Window.partitionBy(*keys, "component")
+    mean = [(F.sum(F.col(c) * F.col("weight")).over(over) / F.sum("weight").over(over)).alias(f"c{c}") for c in "xy"]
+    return found.select(*keys, F.col("x").alias(x), F.col("y").alias(y), *mean)
