@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagegrid.functions.geometry import isclose, orientation, raster, snap_to_grid, strip
-from pagegrid.operators.graph import centroids
+from pagegrid.operators.graph import cluster_means
 from pagegrid.schema import BOX, P
 
 
@@ -21,10 +21,15 @@ def read_segments(df: DataFrame) -> DataFrame:
 
 def clean_coords(df: DataFrame, pages: DataFrame, columns: list[str], tol: float = 3.0) -> DataFrame:
     """Move both corners to the centroid of their cluster, down to the grid, and drop what is then repeated."""
-    for a, b in (("x0", "y0"), ("x1", "y1")):
-        found = centroids(df, P, a, b, tol)
-        df = df.join(found, [*P, a, b]).withColumns({a: F.col("cx"), b: F.col("cy")}).drop("cx", "cy")
+    df = df.where(" and ".join(f"{c} is not null" for c in BOX)).select(*P, "seq", *columns)
     df = df.join(pages.select(*P, F.col("width").alias("_w"), F.col("height").alias("_h")), P)
+
+    def per_page(d):
+        for a, b in (("x0", "y0"), ("x1", "y1")):
+            d[a], d[b] = cluster_means(d[a].to_numpy(), d[b].to_numpy(), tol)
+        return d
+
+    df = df.groupBy(*P).applyInPandas(per_page, df.schema)  # both corners in one go for a page
     df = df.withColumns({c: snap_to_grid(F.col(c), F.col("_w" if c[0] == "x" else "_h")) for c in BOX})
     return read_objects(df, columns)
 

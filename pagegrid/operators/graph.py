@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,35 +44,90 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def _page_components(nodes: DataFrame, links: DataFrame, keys: list[str], node: str) -> DataFrame:
-    """keys, node, component: components within pages; links has keys, a, b. Single nodes are their own."""
-    tag = F.struct(*keys, F.col("a")).alias("a"), F.struct(*keys, F.col("b")).alias("b")
-    found = connected_components(links.select(*tag)).select("node.*", F.col("component.a").alias("component"))
-    found = found.withColumnRenamed(found.columns[len(keys)], node)
-    return nodes.join(found, [*keys, node], "left").withColumn("component", F.coalesce("component", node))
+def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For nodes 0 to n-1 and links a-b, the smallest node of each one's component."""
+    label = np.arange(n)
+    while len(a):
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], least)  # the labels' own nodes move too, so that paths halve
+        np.minimum.at(new, label[b], least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
+def page_components(nodes: DataFrame, links: DataFrame, keys: list[str], node: str) -> DataFrame:
+    """nodes with `component`, the smallest node it is connected to within its page; links has keys, a, b.
+
+    Pages are independent and of bounded size, so that each is settled in one go, without
+    rounds over the cluster. A node without links is its own component.
+    """
+
+    def per_page(own, pairs):
+        own = own.sort_values(node, ignore_index=True)
+        at = own[node].to_numpy()
+        a, b = (np.searchsorted(at, pairs[c].to_numpy()) for c in "ab")
+        return own.assign(component=at[_least_labels(len(own), a, b)])
+
+    kind = nodes.schema[node].dataType.simpleString()
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema) + f", component {kind}"
+    return nodes.groupBy(*keys).cogroup(links.select(*keys, "a", "b").groupBy(*keys)).applyInPandas(per_page, schema)
+
+
+def _near_pairs(x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of points at most eps apart: points meet those of their own and neighbouring squares of side eps."""
+    bx, by = np.floor(x / eps).astype(np.int64), np.floor(y / eps).astype(np.int64)
+    by -= by.min()
+    wide = by.max() + 3
+    square = (bx - bx.min()) * wide + by
+    order = np.argsort(square, kind="stable")
+    found = [[], []]
+    for dx, dy in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1)):
+        to = square + dx * wide + dy
+        low, high = (np.searchsorted(square[order], to, side) for side in ("left", "right"))
+        n = high - low
+        a = np.repeat(np.arange(len(x)), n)
+        b = order[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        close = (a != b) & ((x[a] - x[b]) ** 2 + (y[a] - y[b]) ** 2 <= eps * eps)
+        found[0].append(a[close])
+        found[1].append(b[close])
+    return np.concatenate(found[0]), np.concatenate(found[1])
+
+
+def cluster_means(x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each point the mean of all points of its cluster, repeated ones too."""
+    spots, at, weight = np.unique(np.stack([x, y], 1), axis=0, return_inverse=True, return_counts=True)
+    label = _least_labels(len(spots), *_near_pairs(spots[:, 0], spots[:, 1], eps))
+    total = np.bincount(label, weight)
+    means = [np.bincount(label, weight * spots[:, i])[label] / total[label] for i in (0, 1)]
+    return means[0][at.ravel()], means[1][at.ravel()]
 
 
 def epsilon_clusters(points: DataFrame, keys: list[str], x: str = "x", y: str = "y", eps: float = 3.0) -> DataFrame:
-    """keys, x, y, weight, component: distinct points linked when at most eps apart.
+    """keys, x, y, weight, component_x, component_y: distinct points linked when at most eps apart.
 
-    These are the clusters of DBSCAN with one point as its least. Points meet only those
-    of their own and the eight neighbouring squares of side eps.
+    These are the clusters of DBSCAN with one point as its least; a cluster is named by its
+    smallest point. Points are counted before the shuffle; each page is settled in one go.
+    Points with a null are left out.
     """
     spots = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("weight"))
-    spots = spots.withColumns({"bx": F.floor(F.col("x") / eps), "by": F.floor(F.col("y") / eps)})
-    near = spots.select(*keys, F.col("x").alias("x2"), F.col("y").alias("y2"), "bx", "by")
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    near = near.withColumn("s", F.explode(steps)).withColumns({"bx": F.col("bx") + F.col("s.i"), "by": F.col("by") + F.col("s.j")}).drop("s")
-    a, b = F.struct("x", "y"), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
-    close = (F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2 <= eps * eps
-    links = spots.join(near, [*keys, "bx", "by"]).where(close & (a > b)).select(*keys, a.alias("a"), b.alias("b"))
-    nodes = spots.select(*keys, F.struct("x", "y").alias("node"), "weight")
-    return _page_components(nodes, links, keys, "node").select(*keys, "node.x", "node.y", "weight", "component")
+
+    def per_page(df):
+        df = df.sort_values(["x", "y"], ignore_index=True)
+        px, py = df["x"].to_numpy(), df["y"].to_numpy()
+        label = _least_labels(len(df), *_near_pairs(px, py, eps))
+        return df.assign(component_x=px[label], component_y=py[label])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spots.schema) + ", component_x double, component_y double"
+    return spots.groupBy(*keys).applyInPandas(per_page, schema)
 
 
 def centroids(points: DataFrame, keys: list[str], x: str = "x", y: str = "y", eps: float = 3.0) -> DataFrame:
     """keys, x, y, cx, cy: the mean of all points of the cluster, repeated ones too."""
     found = epsilon_clusters(points, keys, x, y, eps)
-    over = Window.partitionBy(*keys, "component")
+    over = Window.partitionBy(*keys, "component_x", "component_y")
     mean = [(F.sum(F.col(c) * F.col("weight")).over(over) / F.sum("weight").over(over)).alias(f"c{c}") for c in "xy"]
     return found.select(*keys, F.col("x").alias(x), F.col("y").alias(y), *mean)

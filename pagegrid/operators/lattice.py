@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagegrid.functions.geometry import bin_edge, extend_line, isclose, orientation_lattice, rect_lines, snap_to_grid, span_cover, strict_link
 from pagegrid.operators.cells import cell_text
-from pagegrid.operators.graph import _page_components
+from pagegrid.operators.graph import page_components
 from pagegrid.operators.intervals import cluster_lines, merge_lines, squash
 from pagegrid.schema import BOX, P, Config
 
@@ -168,7 +168,7 @@ def merge_small_cells(cells: DataFrame, tol: float = 3.0) -> DataFrame:
 def connected_groups(cells: DataFrame, links: DataFrame, directions: list[str], order: list[Column], least: int = 1) -> DataFrame:
     """P, group_no, box, length, texts of cells connected in some directions; texts without empty ones."""
     edges = links.where(F.col("direction").isin(directions)).select(*P, F.col("cell_no").alias("a"), F.col("neighbour_no").alias("b"))
-    found = _page_components(cells, edges, P, "cell_no")
+    found = page_components(cells.select(*P, "cell_no", *BOX, "text"), edges, P, "cell_no")
     texts = F.filter(F.transform(F.array_sort(F.collect_list(F.struct("cell_no", "text"))), lambda x: x["text"]), lambda t: t != "")
     boxed = found.groupBy(*P, "component").agg(
         F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.count("*").cast("int").alias("length"), texts.alias("texts")
