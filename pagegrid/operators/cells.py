@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagegrid.functions.geometry import isclose, orientation, raster, snap_to_grid, strip
 from pagegrid.operators.graph import cluster_means
+from pagegrid.runtime import scratch_table
 from pagegrid.schema import BOX, P
 
 
@@ -123,7 +124,8 @@ def cells(pages: DataFrame, chars: DataFrame, segments: DataFrame, tol: float =
     if clean_chars:
         chars = clean_coords(chars, pages, ["text", *BOX], tol)
     segments = clean_coords(read_segments(segments), pages, ["kind", *BOX, "orientation"], tol)
-    boxes = level0(rectangles(intersections(segments))).select(*P, F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"))
+    points = scratch_table(intersections(scratch_table(segments, "segments")), "points")  # read many times below
+    boxes = level0(rectangles(points)).select(*P, F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"))
     found = cell_text(boxes, chars, tol)
     number = F.row_number().over(Window.partitionBy(*P).orderBy("x0", F.desc("y0"), "x1", "y1")) - 1
     return found.select(*P, number.alias("cell_no"), *BOX, F.abs(F.col("x1") - F.col("x0")).alias("width"), F.abs(F.col("y1") - F.col("y0")).alias("height"), "text")
