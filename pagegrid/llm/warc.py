@@ -59,7 +59,7 @@ class ZipPackage:
     def _directory(self) -> Iterator[Member]:
         tail_at = max(0, self.size - 22 - FULL16)
         tail = self.read(tail_at, self.size - tail_at)
-        at = tail.rfind(END)
+        at = tail.rfind(END, 0, len(tail) - 18)
         while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
             at = tail.rfind(END, 0, at)  # the signature within a comment
         if at < 0:
