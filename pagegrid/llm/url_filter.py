@@ -64,7 +64,7 @@ def host_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     return links.where("src <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(nodes: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-9, rounds: int = 50) -> DataFrame:
+def propagate(nodes: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100) -> DataFrame:
     """Personalised PageRank of trust along the links, and of distrust against them.
 
     nodes: (host, allowed, blocked), how many pages of the host rules allow and block; the

