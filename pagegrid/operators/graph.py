@@ -74,7 +74,10 @@ def page_components(nodes: DataFrame, links: DataFrame, keys: list[str], node: s
 
     kind = nodes.schema[node].dataType.simpleString()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema) + f", component {kind}"
-    return nodes.groupBy(*keys).cogroup(links.select(*keys, "a", "b").groupBy(*keys)).applyInPandas(per_page, schema)
+    # Links often come from the same table: its keys get other names, so that each side has its own.
+    renamed = [F.col(k).alias(f"_link_{k}") for k in keys]
+    pairs = links.select(*renamed, "a", "b").groupBy(*(f"_link_{k}" for k in keys))
+    return nodes.groupBy(*keys).cogroup(pairs).applyInPandas(per_page, schema)
 
 
 def _near_pairs(x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:

@@ -75,7 +75,8 @@ class LatticePages:
     @cached_property
     def lines(self) -> DataFrame:
         f = self.frames
-        return L.finalise_lines(L.clean_lines(L.all_lines(f["segments"], f["rects"]), f["pages"], self.config), self.config)
+        cleaned = scratch_table(L.clean_lines(L.all_lines(f["segments"], f["rects"]), f["pages"], self.config), "lines")
+        return scratch_table(L.finalise_lines(cleaned, self.config), "lines")  # read for each side of the boxes
 
     @cached_property
     def found_cells(self) -> DataFrame:
