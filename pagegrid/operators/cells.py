@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagegrid.functions.geometry import isclose, orientation, raster, snap_to_grid, strip
 from pagegrid.operators.graph import cluster_means
-from pagegrid.runtime import scratch_table
+from pagegrid.runtime import dealt, scratch_table
 from pagegrid.schema import BOX, P
 
 
@@ -30,7 +30,7 @@ def clean_coords(df: DataFrame, pages: DataFrame, columns: list[str], tol: float
             d[a], d[b] = cluster_means(d[a].to_numpy(), d[b].to_numpy(), tol)
         return d
 
-    df = df.groupBy(*P).applyInPandas(per_page, df.schema)  # both corners in one go for a page
+    df = dealt(df, *P).groupBy(*P).applyInPandas(per_page, df.schema)  # both corners in one go for a page
     df = df.withColumns({c: snap_to_grid(F.col(c), F.col("_w" if c[0] == "x" else "_h")) for c in BOX})
     return read_objects(df, columns)
 
@@ -95,7 +95,7 @@ def levels(rects: DataFrame) -> DataFrame:
         return df.assign(level=level)
 
     schema = "doc_id string, page_number int, x1 double, y1 double, x2 double, y2 double, level int"
-    return rects.select(*P, "x1", "y1", "x2", "y2").groupBy(*P).applyInPandas(per_page, schema)
+    return dealt(rects.select(*P, "x1", "y1", "x2", "y2"), *P).groupBy(*P).applyInPandas(per_page, schema)
 
 
 def joined_text(order: Column, text: Column, separator: str = "") -> Column:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagegrid.runtime import scratch_table
+from pagegrid.runtime import dealt, scratch_table
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -76,8 +76,9 @@ def page_components(nodes: DataFrame, links: DataFrame, keys: list[str], node: s
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema) + f", component {kind}"
     # Links often come from the same table: its keys get other names, so that each side has its own.
     renamed = [F.col(k).alias(f"_link_{k}") for k in keys]
-    pairs = links.select(*renamed, "a", "b").groupBy(*(f"_link_{k}" for k in keys))
-    return nodes.groupBy(*keys).cogroup(pairs).applyInPandas(per_page, schema)
+    theirs = [f"_link_{k}" for k in keys]
+    pairs = dealt(links.select(*renamed, "a", "b"), *theirs).groupBy(*theirs)
+    return dealt(nodes, *keys).groupBy(*keys).cogroup(pairs).applyInPandas(per_page, schema)
 
 
 def _near_pairs(x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +126,7 @@ def epsilon_clusters(points: DataFrame, keys: list[str], x: str = "x", y: str =
         return df.assign(component_x=px[label], component_y=py[label])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spots.schema) + ", component_x double, component_y double"
-    return spots.groupBy(*keys).applyInPandas(per_page, schema)
+    return dealt(spots, *keys).groupBy(*keys).applyInPandas(per_page, schema)
 
 
 def centroids(points: DataFrame, keys: list[str], x: str = "x", y: str = "y", eps: float = 3.0) -> DataFrame:

@@ -9,6 +9,7 @@ from pagegrid.functions.geometry import bin_edge, extend_line, isclose, orientat
 from pagegrid.operators.cells import cell_text
 from pagegrid.operators.graph import page_components
 from pagegrid.operators.intervals import cluster_lines, merge_lines, squash
+from pagegrid.runtime import dealt
 from pagegrid.schema import BOX, P, Config
 
 
@@ -162,7 +163,7 @@ def _merge_page(df, tol: float):
 def merge_small_cells(cells: DataFrame, tol: float = 3.0) -> DataFrame:
     """Cells after the small ones have been merged; a page's result depends on its order, so a page goes to Python."""
     schema = "doc_id string, page_number int, cell_no int, x0 double, y0 double, x1 double, y1 double, text string"
-    return cells.select(*P, "cell_no", *BOX, "text").groupBy(*P).applyInPandas(lambda df: _merge_page(df, tol), schema)
+    return dealt(cells.select(*P, "cell_no", *BOX, "text"), *P).groupBy(*P).applyInPandas(lambda df: _merge_page(df, tol), schema)
 
 
 def connected_groups(cells: DataFrame, links: DataFrame, directions: list[str], order: list[Column], least: int = 1) -> DataFrame:

@@ -52,6 +52,15 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df by its keys in as many partitions as the session shuffles to, for Python to work on.
+
+    Adaptive execution joins partitions by their bytes, so that a few tasks would get all
+    groups of a small table, however long Python takes for each; a given number stays.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def scratch_mark() -> set[str]:
     """The scratch tables there are now; see release_scratch."""
     return set(_scratch)
