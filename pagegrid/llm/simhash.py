@@ -187,10 +187,3 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return table.join(named.hint("merge"), "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id names their component: one document of each group."""
-    stay = near_dedup(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__stay")).distinct()
-    stay = scratch_table(stay, "stay")
-    return docs.join(stay.hint("merge"), docs[id_col].eqNullSafe(stay["__stay"]), "left_semi")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pagegrid.llm import language, quality, token_counts, warc
 from pagegrid.llm.decontaminate import contained_items, drop_contaminated
 from pagegrid.llm.exact_dedup import drop_copies, exact_dedup
+from pagegrid.llm.near_copies import drop_near_copies, near_copies
 from pagegrid.llm.packing import WordBpe, fill, pack
 from pagegrid.llm.repeats import repeated_passages
 from pagegrid.llm.simhash import connected_components, links, near_dedup
@@ -108,6 +109,48 @@ def test_large_buckets_have_the_same_components(spark, bucket):
     assert {p: found.get(p, p) for p in signed} == want
 
 
+def brute_near_copies(texts, least=0.8):
+    """The smallest index reachable, by the similarity of all pairs; and how many pairs are similar."""
+    sets = []
+    for t in texts:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])]
+    label = list(range(len(sets)))
+    for _ in label:
+        for i, j in linked:
+            label[i] = label[j] = min(label[i], label[j])
+    return label, len(linked)
+
+
+@pytest.mark.parametrize("bucket", [8, 2])
+def test_near_copies_of_similarity(spark, bucket):
+    rng = random.Random(7)
+    texts = [None, "", " \n", "A b", "a B", "one", "ü" * 50_000]
+    for size, copies in ((150, 60), (40, 20), (12, 10), (900, 8)):
+        base = spoken(rng, size, 3000).split()
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(rng.randrange(1 + size // 25)):
+                w[rng.randrange(size)] = f"other{rng.randrange(10_000)}"
+            texts.append(" ".join(w))
+    want, links_ = brute_near_copies(texts)
+    assert links_ > 100 and len(set(want)) > 30
+    got = {r.doc_id: r.component_id for r in near_copies(docs(spark, texts), bucket=bucket).collect()}
+    assert got == dict(enumerate(want))
+
+
+def test_near_copies_go(spark):
+    rng = random.Random(7)
+    base = spoken(rng, 200, 3000).split()
+    far = [*base[:100], *spoken(rng, 100, 3000).split()]
+    texts = [" ".join(base), " ".join([*base[:99], "x", *base[100:150], "y", *base[151:]]), " ".join(far), " ".join(base).upper()]
+    table = docs(spark, texts, 10)
+    kept = drop_near_copies(table)
+    assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == [10, 12]
+    assert drop_near_copies(table.limit(0)).count() == 0
+
+
 def test_decontamination(spark):
     rng = random.Random(1)
     items = [spoken(rng, n, 400) for n in (30, 12, 60)] + ["short one", "", None, "... !!"]
