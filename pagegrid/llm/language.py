@@ -26,7 +26,7 @@ class Model:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, held: int = 1, by: int = 3) -> Model:
     """Learn from rows with a language whose id's crc32 modulo `by` is not `held`.
 
-    A bounded sample: about `per_language` texts of each of the 64 most frequent languages.
+    A sample bounded by language: about `per_language` texts of each, however many there are.
     Without any such row the model has no language, and all texts are `und`.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))

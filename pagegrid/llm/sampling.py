@@ -22,12 +22,12 @@ def training_text(text: Column) -> Column:
     return F.when(F.length(text) <= LONG, text).otherwise(F.concat(*parts))
 
 
-def per_label(rows: DataFrame, label: str, key: str, most: int, labels: int = 64) -> tuple[DataFrame, dict]:
-    """About `most` rows of each of the `labels` most frequent labels, by the key's hash, and all labels' counts.
+def per_label(rows: DataFrame, label: str, key: str, most: int) -> tuple[DataFrame, dict]:
+    """About `most` rows of each label, by the key's hash, and all labels' counts.
 
     The choice depends on the keys alone, not on partitions; no label's rows meet in a task.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label).limit(labels).collect()
+    counts = rows.groupBy(label).agg(F.count("*").alias("n")).collect()
     if not counts:
         return rows.limit(0), {}
     share = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(min(_DEALT, _DEALT * most // r[1])))])

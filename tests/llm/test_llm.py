@@ -300,6 +300,13 @@ def test_language(spark):
     assert language.identify(table.limit(0), model).count() == 0
 
 
+def test_all_languages_are_learnt(spark):
+    rows = [(i, " ".join(chr(0x4E00 + 40 * k + (i + j) % 40) for j in range(60)), f"l{k:02}") for k in range(70) for i in range(6 * k, 6 * k + 6 + k % 2)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(table, held=99)
+    assert model.languages == sorted({lang for *_, lang in rows}) and model.net.p["out"].shape == (70,)
+
+
 def test_quality(spark):
     rows = labelled(random.Random(8), 200)
     table = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(1000, None), (1001, "")], "doc_id long, text string").repartition(3)
