@@ -131,7 +131,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in; blank ones go; the end of the text is then counted too; a batch comes again."""
+    """All documents come in; blank ones go and come back; the end of the text is counted too and then not; a batch comes again."""
     import public_tokenizers
 
     docs = _table(spark, sf_dir, "documents")
@@ -140,6 +140,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("load", token_counts.inserts(counted))
     rollup.commit("blank", token_counts.deletes(counted.where("blank")))
     rollup.commit("ends", token_counts.revisions(counted.where("not blank"), F.col("tokens") + 1))
+    rollup.commit("back", token_counts.inserts(counted.where("blank")))
+    ended = counted.where("not blank").withColumn("tokens", F.col("tokens") + 1)
+    rollup.commit("plain", token_counts.revisions(ended, F.col("tokens") - 1))
     rollup.commit("load", token_counts.inserts(counted))
     return rollup.totals()
 

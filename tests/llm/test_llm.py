@@ -337,6 +337,18 @@ def test_token_counts(spark, tmp_path):
     assert [r.source for r in rollup.totals().collect()] == [None]
 
 
+def test_token_totals_are_those_of_the_whole_table(spark, tmp_path):
+    from pagegrid.llm.queries import QUERIES
+
+    own = token_counts.encoding(pytest.importorskip("public_tokenizers").path("byte_bpe_50k.tiktoken"))
+    texts = ["a b c", None, "", "  ", "längere Texte " * 50, "a b c"]
+    table = spark.createDataFrame([(i, t, "s" if i % 2 else None, "en") for i, t in enumerate(texts)], "doc_id long, text string, source string, lang string")
+    table.write.parquet(f"file://{tmp_path}/documents.parquet")
+    want = {s: (3, sum(len(own.encode_ordinary(t or "")) for t in texts[k::2])) for k, s in enumerate([None, "s"])}
+    got = QUERIES["op6_token_counts"](spark, f"file://{tmp_path}").collect()
+    assert {r.source: (r.documents, r.tokens) for r in got} == want
+
+
 @pytest.mark.parametrize("least", [0, 4])
 def test_warc_round_trip(spark, least):
     html = ["<p>a</p>", "<p>a</p>", None, "", "abc", "abc", "é" * 70_000]
