@@ -23,7 +23,7 @@ class Shape:
     embedding: int = 8
     widths: tuple[int, ...] = (3, 5, 8)
     filters: int = 16
-    stride: int = 2
+    stride: int = 1
 
     @property
     def span(self) -> int:

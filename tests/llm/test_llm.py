@@ -433,6 +433,15 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, f"file://{tmp_path}").collect()} == left
 
 
+def test_filters_start_at_every_byte():
+    from pagegrid.llm.cnn import Network, Shape
+
+    net = Network(Shape(), 1, Shape().channels)
+    texts = [bytes(n) + b"abcdefgh" + bytes(504 - n) for n in (100, 101)]
+    even, odd = net.pooled(np.stack([np.frombuffer(t, np.uint8) for t in texts]))
+    assert even == pytest.approx(odd, abs=1e-5)
+
+
 def test_blocks_read_slices_and_nulls():
     from pagegrid.llm.textwords import blocks
 
