@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagegrid.llm.cnn import Network, Shape, class_scores, train_windows
-from pagegrid.llm.sampling import per_label, remainder, training_text
+from pagegrid.llm.sampling import per_label, remainder
 
 NO_LANGUAGE = "und"
 #: Training takes about this many texts of each language.
@@ -33,7 +33,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = rows.where("lang is not null and text is not null").where(remainder(F.col("id"), by) != held)
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
     sample, counts = per_label(rows, "lang", "id", per_language)
-    got = sorted((r[0], r[1]) for r in sample.select("lang", training_text(F.col("text"))).collect())
+    got = sorted((r[0], r[1]) for r in sample.select("lang", "text").collect())
     languages = sorted({lang for lang, _ in got})
     if not languages:
         return Model([], None)

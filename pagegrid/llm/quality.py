@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagegrid.llm.cnn import Network, Shape, document_scores, train_documents
-from pagegrid.llm.sampling import per_label, remainder, training_text
+from pagegrid.llm.sampling import per_label, remainder
 
 #: Training takes about this many texts of each label.
 PER_LABEL = 1500
@@ -37,7 +37,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(counts) < 2:
         return Model(None, prior)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    got = rows.join(F.broadcast(sample), "id").select("label", training_text(F.col("text"))).collect()  # the sample is bounded
+    got = rows.join(F.broadcast(sample), "id").select("label", "text").collect()  # the sample is bounded
     got = sorted((r[0], r[1]) for r in got)
     y = np.array([r[0] for r in got], np.float64)
     if not 0 < y.sum() < len(y):

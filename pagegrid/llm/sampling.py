@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A training text over this many characters is represented by PIECES even pieces of it.
-LONG, PIECES = 16384, 8
 _DEALT = 1 << 40
 
 
@@ -15,13 +13,6 @@ def remainder(id_col: Column, by: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % by
 
 
-def training_text(text: Column) -> Column:
-    size = LONG // PIECES
-    step = (F.length(text) - size) / (PIECES - 1)
-    parts = [F.substring(text, (step * i + 1).cast("int"), F.lit(size)) for i in range(PIECES)]
-    return F.when(F.length(text) <= LONG, text).otherwise(F.concat(*parts))
-
-
 def per_label(rows: DataFrame, label: str, key: str, most: int) -> tuple[DataFrame, dict]:
     """About `most` rows of each label, by the key's hash, and all labels' counts.
 

@@ -433,6 +433,19 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, f"file://{tmp_path}").collect()} == left
 
 
+def test_training_takes_whole_texts(spark, monkeypatch):
+    texts = ["a" * 40_000 + "z", "b" * 20_000, "c"]
+    table = spark.createDataFrame([(i, t, "xy"[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, quality int")
+    seen = []
+    for module, name in ((language, "train_windows"), (quality, "train_documents")):
+        train = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda got, *a, train=train: (seen.append(sorted(got)), train(got, *a))[1])
+    language.fit(table, held=99)
+    quality.fit(table, marks, held=99)
+    assert seen == [[t.encode() for t in texts]] * 2
+
+
 def test_filters_start_at_every_byte():
     from pagegrid.llm.cnn import Network, Shape
 
