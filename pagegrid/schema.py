@@ -44,7 +44,6 @@ class Config:
     threshold: float = 0.8
     top_blocks: int = 5
     clean_chars: bool = True
-    strict_seed: bool = False
 
 
 def validate_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

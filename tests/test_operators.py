@@ -107,3 +107,13 @@ def test_schema(spark):
     assert whole.count() == 0 and errors.first().message == "1 objects without coordinates"
     with pytest.raises(ValueError):
         validate_schema(df, CHARS)
+
+
+def test_config_offers_no_setting_that_nothing_reads():
+    import dataclasses
+    from pathlib import Path
+
+    from pagegrid.schema import Config
+
+    code = "".join(p.read_text() for p in (Path(__file__).parent.parent / "pagegrid").rglob("*.py"))
+    assert [f.name for f in dataclasses.fields(Config) if f"config.{f.name}" not in code] == []
