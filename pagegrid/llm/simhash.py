@@ -7,7 +7,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagegrid.llm.textwords import SPACED, Words, blocks, words
@@ -126,44 +126,51 @@ def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
-def _block(fp: Column, i: int, bits: int) -> Column:
-    return F.shiftrightunsigned(fp, i * bits).bitwiseAND(F.lit((1 << bits) - 1))
+def split(mask: int, distance: int) -> list[int]:
+    """Masks that share more bits than `mask`: its open bits in distance + 2 blocks, any two of them shared as well."""
+    rest = [i for i in range(64) if not mask >> i & 1]
+    n = distance + 2
+    parts = [sum(1 << i for i in rest[len(rest) * k // n : len(rest) * (k + 1) // n]) for k in range(n)]
+    return sorted({mask | x | y for x, y in combinations(parts, 2)})
 
 
-def links(prints: DataFrame, distance: int = 2, bucket: int = 48) -> DataFrame:
-    """Links (a, b) among distinct fingerprints that have the components of all pairs within the distance.
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
 
-    The 64 bits are split into distance + 2 blocks; a close pair shares two of them, so
-    the join is on two blocks, and the Hamming distance of each pair is verified. Buckets
-    of more than `bucket` fingerprints are not joined pairwise: their members are linked
-    through common neighbours one bit away, which has the same components for distance 2
-    and needs 65 rows for each member.
+def links(prints: DataFrame, distance: int = 2, bucket: int = 48) -> DataFrame:
+    """Links (a, b) of all pairs of distinct fingerprints that differ in at most `distance` bits.
+
+    The 64 bits are split into distance + 2 blocks; a close pair has two of them in common,
+    so it meets in the bucket of those two, and its Hamming distance is verified. A bucket
+    of more than `bucket` fingerprints is not joined: the bits that its members may differ
+    in are split into blocks again, where a close pair has again two in common, until all
+    buckets are that small or hold all values of fewer bits than there are blocks. So every
+    pair is found in the same way, and no row meets more than about `bucket` others there.
     """
-    if distance != 2:
-        raise ValueError("the way for large buckets needs a distance of 2")
-    bits = 64 // (distance + 2)
-    keys = [
-        F.struct(F.lit(n).alias("n"), F.shiftleft(_block(F.col("fp"), i, bits), bits).bitwiseOR(_block(F.col("fp"), j, bits)).alias("k"))
-        for n, (i, j) in enumerate(combinations(range(distance + 2), 2))
-    ]
-    keyed = prints.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.n", "key.k")
-    sizes = scratch_table(keyed.groupBy("n", "k").agg(F.count("*").alias("c")).where("c > 1"), "buckets")
-    small = scratch_table(keyed.join(sizes.where(F.col("c") <= bucket).hint("merge"), ["n", "k"]).select("n", "k", "fp"), "members")
+    if not 0 <= distance < 32:
+        raise ValueError("distance must be from 0 to 31")
+    spark, masks, found = prints.sparkSession, split(0, distance), None
+    level = prints.select("fp", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    pairs = (
-        small.withColumnRenamed("fp", "a")
-        .join(small.withColumnRenamed("fp", "b").hint("merge"), ["n", "k"])
-        .where((F.col("a") < F.col("b")) & close)
-        .select("a", "b")
-    )
-    large = keyed.join(sizes.where(F.col("c") > bucket).hint("merge"), ["n", "k"], "left_semi").select("fp").distinct()
-    flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(-(1 << 63) if i == 63 else 1 << i)) for i in range(64)])
-    near = large.select("fp", F.explode(flips).alias("mid"))
-    # Two fingerprints within two bits of each other have a common neighbour; all that have
-    # one in common are within two bits. The neighbour stands for the smallest of them.
-    stars = scratch_table(near.groupBy("mid").agg(F.min("fp").alias("b"), F.count("*").alias("c")).where("c > 1").select("mid", "b"), "stars")
-    more = near.join(stars.hint("merge"), "mid").where("fp <> b").select(F.col("fp").alias("a"), "b")
-    return pairs.unionByName(more)
+    while True:
+        keyed = level.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+        sizes = scratch_table(keyed.groupBy("mask", "key").agg(F.count("*").alias("c")).where("c > 1"), "buckets")
+        members = scratch_table(keyed.join(sizes.hint("merge"), ["mask", "key"]), "members")
+        rest = max(64 - m.bit_count() for m in masks)
+        last = rest < distance + 2 or 1 << rest <= bucket
+        small = members if last else members.where(F.col("c") <= bucket)
+        one, two = (small.select("mask", "key", F.col("fp").alias(x)) for x in "ab")
+        pairs = one.join(two.hint("merge"), ["mask", "key"]).where((F.col("a") < F.col("b")) & close).select("a", "b")
+        found = pairs if found is None else found.unionByName(pairs)
+        large = members.where(F.col("c") > bucket)
+        if last or large.isEmpty():
+            return found
+        finer = {m: split(m, distance) for m in masks}
+        table = spark.createDataFrame([(_signed(m), _signed(x)) for m, xs in finer.items() for x in xs], "mask long, finer long")
+        # The masks follow from the distance alone: a few hundred rows.
+        level = large.join(F.broadcast(table), "mask").select("fp", F.col("finer").alias("mask")).distinct()
+        masks = sorted({x for xs in finer.values() for x in xs})
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2, seed: int = 42) -> DataFrame:

@@ -18,7 +18,7 @@ from pagegrid.llm.exact_dedup import drop_copies, exact_dedup
 from pagegrid.llm.near_copies import drop_near_copies, near_copies
 from pagegrid.llm.packing import WordBpe, fill, pack
 from pagegrid.llm.repeats import repeated_passages
-from pagegrid.llm.simhash import connected_components, links, near_dedup
+from pagegrid.llm.simhash import links, near_dedup
 from pagegrid.llm.url_filter import Rule, judge
 
 DOCS = "doc_id long, text string, h string, keep_id string, fp long, component string, id int"
@@ -92,21 +92,38 @@ def test_near_dedup(spark):
     assert near_dedup(docs(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [48, 2])
-def test_large_buckets_have_the_same_components(spark, bucket):
+@pytest.mark.parametrize(("distance", "bucket"), [(2, 48), (2, 2), (0, 4), (1, 3), (3, 5), (6, 40)])
+def test_links_of_any_distance_and_bucket(spark, distance, bucket):
     rng = random.Random(5)
-    prints = {rng.getrandbits(64) for _ in range(5)}
+    prints = {rng.getrandbits(64) for _ in range(5)} | {0, 1, 3, (1 << 64) - 1}
     for p in list(prints):
-        for _ in range(12):
-            for _ in range(rng.randrange(1, 4)):
-                p ^= 1 << rng.randrange(64)
-            prints.add(p)
-    prints = sorted(prints)
-    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    table = spark.createDataFrame([(p,) for p in signed], "fp long")
-    found = {r.node: r.component for r in connected_components(links(table, 2, bucket)).collect()}
-    want = brute_components(signed, prints)
-    assert {p: found.get(p, p) for p in signed} == want
+        for _ in range(40):
+            q = p
+            for _ in range(rng.randrange(1, distance + 3)):
+                q ^= 1 << rng.randrange(64)
+            prints.add(q)
+    signed = {p - (1 << 64) if p >> 63 else p for p in prints}
+    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= distance}
+    got = links(spark.createDataFrame([(p,) for p in signed], "fp long"), distance, bucket).distinct().collect()
+    assert {tuple(r) for r in got} == want
+    assert links(spark.createDataFrame([], "fp long"), distance, bucket).count() == 0
+
+
+def test_a_close_pair_always_shares_two_blocks():
+    from pagegrid.llm.simhash import split
+
+    rng = random.Random(6)
+    for distance in (1, 2, 5):
+        masks = [0]
+        for _ in range(300):
+            a = rng.getrandbits(64)
+            b = a
+            for _ in range(distance):
+                b ^= 1 << rng.randrange(64)
+            masks = [0]
+            while max(64 - m.bit_count() for m in masks) >= distance + 2:
+                masks = [x for m in masks for x in split(m, distance) if not (a ^ b) & x][:1]
+                assert masks
 
 
 def brute_near_copies(texts, least=0.8):
