@@ -15,6 +15,7 @@ import zipfile
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
@@ -22,9 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagegrid.runtime import scratch_path, scratch_table
+from pagegrid.runtime import qualified, scratch_path, scratch_table
 
-RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
+#: Folders of a package, and the names that are written here.
+ARCHIVES, INDEXES = "archive/", "indexes/"
+RECORDS, INDEX = ARCHIVES + "data.warc.gz", INDEXES + "index.jsonl"
+#: Payloads of about this size are handed on together, and archives without an index are read by pieces of it.
+PIECE = 4 << 20
 #: A package ends after a record that takes it past this size.
 PACKAGE_BYTES = 256 << 20
 DATE = "2000-01-01T00:00:00Z"  # records are the same in each run
@@ -183,7 +188,7 @@ class _PackageWriter:
 
     def close(self) -> int:
         self.member.close()
-        lines = "".join(json.dumps({"offset": a, "length": n}) + "\n" for a, n in self.index)
+        lines = "".join(json.dumps({"filename": RECORDS.removeprefix(ARCHIVES), "offset": a, "length": n}) + "\n" for a, n in self.index)
         self.zip.writestr(zipfile.ZipInfo(INDEX, (2000, 1, 1, 0, 0, 0)), lines)
         self.zip.close()
         self.raw.close()
@@ -198,6 +203,7 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     (repeated rows), as is any with a null id. A null page is an empty payload.
     Each attempt of a task writes files of its own name; only those listed count.
     """
+    folder = qualified(pages.sparkSession, folder)
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("string").alias("key"), F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"sha": F.sha2("payload", 256), "short": F.sha1("payload")})
@@ -234,6 +240,49 @@ def _opened(path: str, size: int | None = None):
     return f, ZipPackage(lambda offset, n: f.read_at(n, offset), size if size is not None else f.size())
 
 
+def scanned(read: Callable[[int, int], bytes], start: int, size: int) -> Iterator[tuple[int, int]]:
+    """Offset and length of each gzip member in a range, found by reading them through."""
+    at, begin, z, left = 0, 0, zlib.decompressobj(31), b""
+    while at < size or left:
+        data = left or read(start + at, min(PIECE, size - at))
+        at += 0 if left else len(data)
+        while data and not z.eof:
+            z.decompress(data, PIECE)  # its bytes are not kept
+            data = z.unconsumed_tail
+        left = z.unused_data if z.eof else b""
+        if z.eof:
+            end = at - len(left)
+            yield start + begin, end - begin
+            begin, z = end, zlib.decompressobj(31)
+    if begin != size:
+        raise ValueError("a record ends too early")
+
+
+def package_places(package: ZipPackage) -> Iterator[tuple[int, int]]:
+    """Offset and length of each record of all stored archive members, by the package's indexes.
+
+    An index is a stored member of lines that end in a JSON object with filename, offset and
+    length (JSON lines, CDXJ). An archive that no index names is read through instead.
+    """
+    archives = {n.removeprefix(ARCHIVES): n for n in package.members if n.startswith(ARCHIVES) and n.endswith(".warc.gz")}
+    places = {n: package.place(member) for n, member in archives.items()}
+    named = set()
+    for n in sorted(package.members):
+        if n.startswith(INDEXES) and n.endswith((".jsonl", ".json", ".cdxj", ".cdx")):
+            at, size = package.place(n)
+            left = b""
+            for i in range(0, size, PIECE):
+                *lines, left = (left + package.read(at + i, min(PIECE, size - i))).split(b"\n")
+                for line in [*lines, left] if i + PIECE >= size else lines:
+                    if b"{" in line:
+                        x = json.loads(line[line.index(b"{") :])
+                        if x.get("filename") in places and "offset" in x and "length" in x:
+                            named.add(x["filename"])
+                            yield places[x["filename"]][0] + int(x["offset"]), int(x["length"])
+    for n in sorted(places.keys() - named):
+        yield from scanned(package.read, *places[n])
+
+
 def record_places(packages: DataFrame) -> DataFrame:
     """(path, offset, length) of each record, from the packages' directories and indexes."""
 
@@ -242,32 +291,29 @@ def record_places(packages: DataFrame) -> DataFrame:
             for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 f, package = _opened(path, size)
                 with f:
-                    start, _ = package.place(RECORDS)
-                    at, n = package.place(INDEX)
-                    lines = [json.loads(x) for x in f.read_at(n, at).splitlines()]
-                for i in range(0, len(lines), 10_000):
-                    part = lines[i : i + 10_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path] * len(part)), pa.array([start + x["offset"] for x in part], pa.int64()), pa.array([x["length"] for x in part], pa.int64())],
-                        ["path", "offset", "length"],
-                    )
+                    places = package_places(package)
+                    while part := list(islice(places, 10_000)):
+                        at, n = zip(*part)
+                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array(at, pa.int64()), pa.array(n, pa.int64())], ["path", "offset", "length"])
 
     return packages.select("path", "size").mapInArrow(run, "path string, `offset` long, length long")
 
 
-def read_records(places: DataFrame) -> DataFrame:
+def read_records(places: DataFrame, payloads: bool = True) -> DataFrame:
     """Read each record by its range: key, url, record_type, payload, payload_bytes, payload_digest, refers_to.
 
     A response's bytes and digest are those of the payload read, and must be what the
-    record says; a revisit has no payload and they are what the record says.
+    record says; a revisit has no payload and they are what the record says. Without
+    `payloads` that column is null, and nothing of that size leaves a worker. Memory
+    follows the longest record. No places give no rows.
     """
+    names = ["key", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string()]
 
     def run(batches):
         path, f = None, None
-        names = ["key", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]
-        kinds = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string()]
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for at, offset, n in sorted(zip(*(c.to_pylist() for c in batch.columns))):
                 if at != path:
                     if f:
@@ -280,7 +326,12 @@ def read_records(places: DataFrame) -> DataFrame:
                 if kind == "response" and (said != digest(payload) or len(payload) != int(http["content-length"])):
                     raise ValueError(f"{at} at {offset}: the payload is not what its record says")
                 key, refers = (own.get(k, "").removeprefix("<urn:page").removesuffix(">") for k in ("warc-record-id", "warc-refers-to"))
-                rows.append((key[1:] if key else None, own.get("warc-target-uri"), kind, payload if kind == "response" else None, int(http["content-length"]), said, refers[1:] if refers else None))
+                kept = payload if payloads and kind == "response" else None
+                rows.append((key[1:] if key else None, own.get("warc-target-uri"), kind, kept, int(http["content-length"]), said, refers[1:] if refers else None))
+                held += len(kept or b"")
+                if held >= PIECE:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                    rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
         if f:
@@ -299,5 +350,5 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     packages = write_packages(pages, scratch_path(spark, "packages"), id_col, url_col, html_col, least)
     places = record_places(packages).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = pages.schema[id_col].dataType
-    read = read_records(places)
+    read = read_records(places, payloads=False)
     return read.select(F.col("key").cast(kind).alias(id_col), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
