@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import uuid
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -26,7 +27,11 @@ def encoding(path: str) -> tiktoken.Encoding:
 
 
 def count_tokens(docs: DataFrame, path: str, version: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """(id, source, lang, tokenizer, tokens, blank): the tokens of each whole text; a null text has none."""
+    """(id, source, lang, tokenizer, tokens, blank): the tokens of each whole text; a null text has none.
+
+    Null sources and languages are groups of their own. Repeated rows are counted one by
+    one; an empty table gives no rows; columns of other names are not read.
+    """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(lang_col).cast("string").alias("lang"), text.alias("text"))
 
@@ -42,8 +47,6 @@ def count_tokens(docs: DataFrame, path: str, version: str, id_col: str = "doc_id
     return rows.mapInArrow(run, f"id {kind}, source string, lang string, tokens long, blank boolean").withColumn("tokenizer", F.lit(version))
 
 
-
-
 def inserts(counted: DataFrame) -> DataFrame:
     """Changes (before, after): documents that are new."""
     after = F.struct(*KEYS, "tokens")
@@ -74,41 +77,67 @@ def delta(changes: DataFrame) -> DataFrame:
 
 @dataclass
 class Rollup:
-    """Totals in a folder that all nodes share: a folder of signed sums for each committed batch."""
+    """Totals in a folder that all nodes share.
+
+    `data` has a folder of signed sums for each try of a commit; `commits` has a file for
+    each batch, which names the one that counts. Folders that no file names are nothing.
+    """
 
     spark: SparkSession
     folder: str
 
-    def _fs(self, path: str):
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self):
+        return self._path(self.folder).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _publish(self, data: str, at: str) -> bool:
+        """Write the batch's file; False if there is one. The rename never replaces a file, and is one step on HDFS."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        fs, mine, there = self._fs(), self._path(f"{data}.try"), self._path(at)
+        out = fs.create(mine, True)
+        out.write(bytearray(data.rpartition("/")[2].encode()))
+        out.close()
+        fs.mkdirs(there.getParent())
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+        keep = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            files.rename(fs.makeQualified(mine), fs.makeQualified(there), keep)
+        except Exception:
+            fs.delete(mine, False)
+            if not fs.exists(there):
+                raise
+            return False
+        return True
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of changes once; False and no effect if that batch is there already.
 
-        The sums are written aside and then renamed, so that a batch is there as a whole or
-        not at all, however often a commit is tried or broken off.
+        Each try writes its sums to a folder of its own and then a file that names it, if
+        the batch has none. So a batch counts as a whole or not at all and once, however
+        often, or by how many at a time, its commit is tried or broken off.
         """
         if not batch or any(not (c.isalnum() or c in "-_") for c in batch):
             raise ValueError(f"not a batch name: {batch!r}")
-        fs, there = self._fs(f"{self.folder}/batches/{batch}")
-        if fs.exists(there):
+        at = f"{self.folder}/commits/{batch}"
+        if self._fs().exists(self._path(at)):
+            return False
+        data = f"{self.folder}/data/{batch}-{uuid.uuid4().hex}"
+        delta(changes).write.parquet(data)
+        if not self._publish(data, at):
+            self._fs().delete(self._path(data), True)
             return False
-        aside = f"{self.folder}/aside/{batch}"
-        delta(changes).write.mode("overwrite").parquet(aside)
-        fs.mkdirs(there.getParent())
-        if not fs.rename(self._fs(aside)[1], there):
-            if fs.exists(there):
-                return False
-            raise OSError(f"batch {batch} could not be committed")
         return True
 
     def totals(self) -> DataFrame:
-        """source, lang, tokenizer, documents, tokens; what has come to nothing is left out."""
+        """source, lang, tokenizer, documents, tokens; what has come to nothing is left out. No commits: no rows."""
         schema = "source string, lang string, tokenizer string, documents long, tokens long"
-        fs, top = self._fs(f"{self.folder}/batches")
-        found = [str(x.getPath()) for x in fs.listStatus(top)] if fs.exists(top) else []
-        if not found:
+        commits = f"{self.folder}/commits"
+        if not self._fs().exists(self._path(commits)):
             return self.spark.createDataFrame([], schema)
+        names = [r[0] for r in self.spark.read.text(commits).collect()]  # one for each batch
+        found = [f"{self.folder}/data/{n}" for n in names]
         sums = self.spark.read.schema(schema).parquet(*found).groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in SUMS))
         return sums.where("documents <> 0 or tokens <> 0")
