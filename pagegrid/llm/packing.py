@@ -63,7 +63,10 @@ class WordBpe:
             raise ValueError("two merges make the same token")
         self.core = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
         ids = {raw(t): i for t, i in model["vocab"].items() if set(t.removesuffix(suffix)) <= letters.keys()}
-        self.ids = np.array([ids.get(t, -1) for t in order], np.int64)
+        missing = [t for t in order if t not in ids]
+        if missing:
+            raise ValueError(f"{len(missing)} tokens of the merges have no id, first {missing[0]!r}")
+        self.ids = np.array([ids[t] for t in order], np.int64)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
