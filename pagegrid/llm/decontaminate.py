@@ -187,7 +187,11 @@ def contained_items(
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The rows of docs that contain none of the items, with all their columns."""
+    """The rows of docs that contain none of the items (see contained_items), with all their columns.
+
+    Null and empty texts contain nothing and stay. Repeated rows are judged one by one. An
+    empty table of documents gives an empty one; without items all rows stay.
+    """
     at = docs.columns.index(text_col)
     for part in _item_blocks(items, item_id, item_text, block_bytes):
         index = docs.sparkSession.sparkContext.broadcast(build_index([tuple(r) for r in part.collect()], shingle, threshold))

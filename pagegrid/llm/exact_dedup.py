@@ -62,8 +62,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; a repeated row that stays, once for each time."""
-    stay = scratch_table(exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__stay"), "text_sha256").distinct(), "stay")
-    mine = docs.withColumn("__sha", F.sha2(normalise(F.col(text_col)).cast("binary"), 256))
-    same = mine[id_col].eqNullSafe(stay["__stay"]) & (mine["__sha"] == stay["text_sha256"])
-    return mine.join(stay.hint("merge"), same, "left_semi").drop("__sha")
+    """The rows of docs that stay, with all their columns, whatever their names.
+
+    A repeated row that stays does so once for each time. A null text is an empty one; a
+    null id is the largest. An empty table gives an empty one.
+    """
+    stay = scratch_table(exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("id"), "text_sha256").distinct(), "stay")
+    same = docs[id_col].eqNullSafe(stay["id"]) & (F.sha2(normalise(docs[text_col]).cast("binary"), 256) == stay["text_sha256"])
+    return docs.join(stay.hint("merge"), same, "left_semi")

@@ -75,7 +75,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of docs with a language of a probability of at least `least`, with all their columns."""
+    """The rows of docs with a language of a probability of at least `least`, with all their columns.
+
+    Texts that are null or have no letter go. Ids are not read. Repeated rows are judged one
+    by one; an empty table gives an empty one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
