@@ -1,11 +1,13 @@
-"""Session helpers shared by all operators: scratch tables and worker imports."""
+"""Session helpers shared by all operators: scratch data and worker imports."""
 
 from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,20 +28,30 @@ def attach_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, by what Hadoop takes as default: other readers may take another."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    Only where it is unset (tests, local mode) a folder of our own is used.
+    Where it is unset, a local session (tests) takes a temporary folder; a cluster, whose
+    nodes would not see it, raises.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="pagegrid-")
         spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    return qualified(spark, found).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    path = f"{shared_dir(spark)}/pagegrid/{label}-{uuid.uuid4().hex}"
+    """A new folder for this application; those of one that was killed are found by its name."""
+    path = f"{shared_dir(spark)}/pagegrid/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     _scratch[path] = spark
     return path
 
@@ -52,6 +64,17 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """make()'s result, written if it stands on scratch data, which is released then; else as it is."""
+    mark = scratch_mark()
+    found = make()
+    if set(_scratch) == mark:
+        return found
+    found = scratch_table(found, label)
+    release_scratch(mark, keep=1)
+    return found
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """df by its keys in as many partitions as the session shuffles to, for Python to work on.
 
@@ -62,14 +85,14 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def scratch_mark() -> set[str]:
-    """The scratch tables there are now; see release_scratch."""
+    """The scratch data there is now; see release_scratch."""
     return set(_scratch)
 
 
 def release_scratch(mark: set[str] = frozenset(), keep: int = 0) -> None:
-    """Delete the scratch tables made since `mark`, but for the last `keep` ones.
+    """Delete the scratch data made since `mark`, but for the last `keep` ones.
 
-    Only for results that have been written out: a DataFrame over a released table fails.
+    Only for results that have been written out: a DataFrame over released data fails.
     """
     made = [path for path in _scratch if path not in mark]
     for path in made[: len(made) - keep]:
