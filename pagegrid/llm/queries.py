@@ -16,7 +16,7 @@ from pagegrid.llm.sampling import remainder
 from pagegrid.llm.simhash import near_dedup
 from pagegrid.llm.url_filter import judge
 from pagegrid.llm.warc import round_trip
-from pagegrid.runtime import attach_workers, scratch_path, scratch_table
+from pagegrid.runtime import attach_workers, scratch_path, scratch_table, settled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +29,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         attach_workers(spark)
-        return f(spark, sf_dir)
+        return settled(lambda: f(spark, sf_dir), f.__name__)
 
     QUERIES[f.__name__] = run
     return f
