@@ -119,13 +119,20 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train_windows(texts: list[bytes], labels: np.ndarray, classes: int, shape: Shape, epochs: int = 4, rate: float = 0.004, batch: int = 128, seed: int = 7) -> Network:
-    """A softmax over classes for each window; a window has its text's label."""
+def train_windows(texts: list[bytes], labels: np.ndarray, classes: int, shape: Shape, epochs: int = 4, rate: float = 0.004, batch: int = 128, steps: int = 200, seed: int = 7) -> Network:
+    """A softmax over classes for each window; a window has its text's label.
+
+    The windows of a text weigh as much together as those of any other, so that long texts
+    don't outweigh the rest. At least `steps` batches are learnt from, in more epochs if need be.
+    """
     net = Network(shape, classes, shape.channels, seed)
     x, count = windows(_joined(texts), shape)
     y = np.repeat(labels, count)
+    weight = np.repeat(len(x) / len(texts) / count, count).astype(np.float32)
     rng = np.random.default_rng(seed)
-    total, done = epochs * -(-len(x) // batch), 0
+    each = -(-len(x) // batch)
+    epochs = max(epochs, -(-steps // each))
+    total, done = epochs * each, 0
     for _ in range(epochs):
         order = rng.permutation(len(x))
         for i in range(0, len(x), batch):
@@ -133,7 +140,7 @@ def train_windows(texts: list[bytes], labels: np.ndarray, classes: int, shape: S
             f, at = net.pooled(x[take], True)
             g = softmax(f @ net.p["dense"] + net.p["out"])
             g[np.arange(len(take)), y[take]] -= 1
-            g /= len(take)
+            g *= weight[take, None] / len(take)
             grads = {"dense": f.T @ g, "out": g.sum(0)} | net.back(x[take], f, at, g @ net.p["dense"].T)
             net.learn(grads, rate * (1 - done / total))
             done += 1
