@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagegrid.functions.geometry import isclose, orientation, raster, snap_to_grid, strip
-from pagegrid.operators.graph import cluster_means
-from pagegrid.runtime import dealt, scratch_table
+from pagegrid.functions.geometry import isclose, orientation, raster, strip
+from pagegrid.operators.graph import cluster_means, whole_pages
+from pagegrid.runtime import scratch_table
 from pagegrid.schema import BOX, P
 
 
+#: Height in points of the strips by which the objects of a page meet.
+STRIP = 16.0
+
+
+def strip_of(v: Column) -> Column:
+    """Number of the strip that a height is in; far outside of any page all heights are in one."""
+    return F.least(F.greatest(F.floor(v / STRIP), F.lit(-64)), F.lit(2048)).cast("int")
+
+
+def strips(low: Column, high: Column) -> Column:
+    """The strips from one height to another, as an array."""
+    return F.sequence(strip_of(F.least(low, high)), strip_of(F.greatest(low, high)))
+
+
 def read_objects(df: DataFrame, columns: list[str]) -> DataFrame:
     """Without exact repetitions; of these the one that comes first in the stream (seq) stays."""
     return df.groupBy(*P, *columns).agg(F.min("seq").alias("seq"))
@@ -20,19 +36,38 @@ def read_segments(df: DataFrame) -> DataFrame:
     return read_objects(df.withColumn("orientation", orientation(*map(F.col, BOX))), ["kind", *BOX, "orientation"])
 
 
-def clean_coords(df: DataFrame, pages: DataFrame, columns: list[str], tol: float = 3.0) -> DataFrame:
-    """Move both corners to the centroid of their cluster, down to the grid, and drop what is then repeated."""
-    df = df.where(" and ".join(f"{c} is not null" for c in BOX)).select(*P, "seq", *columns)
-    df = df.join(pages.select(*P, F.col("width").alias("_w"), F.col("height").alias("_h")), P)
+def _snapped(v: np.ndarray, dim: np.ndarray) -> np.ndarray:
+    """What geometry.snap_to_grid does, on arrays."""
+    last = np.floor(dim) - 1
+    return np.where((v < 0) | (last < 0), v, np.minimum(np.floor(v), last))
 
-    def per_page(d):
-        for a, b in (("x0", "y0"), ("x1", "y1")):
-            d[a], d[b] = cluster_means(d[a].to_numpy(), d[b].to_numpy(), tol)
-        return d
 
-    df = dealt(df, *P).groupBy(*P).applyInPandas(per_page, df.schema)  # both corners in one go for a page
-    df = df.withColumns({c: snap_to_grid(F.col(c), F.col("_w" if c[0] == "x" else "_h")) for c in BOX})
-    return read_objects(df, columns)
+def clean_coords(df: DataFrame, pages: DataFrame, columns: list[str], tol: float = 3.0) -> DataFrame:
+    """Move both corners to the centroid of their cluster, down to the grid, and drop what is then repeated.
+
+    Rows that repeat before count once. Rows of pages that `pages` does not have go. A page's
+    size comes along as a row of its own, so that one shuffle brings all of a page together.
+    """
+    rows = df.where(" and ".join(f"{c} is not null" for c in BOX)).select(*P, "seq", *columns, F.lit(None).cast("double").alias("width"), F.lit(None).cast("double").alias("height"))
+    sizes = pages.select(*P, *(F.lit(None).cast(df.schema[c].dataType).alias(c) for c in ("seq", *columns)), "width", "height")
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in (*P, *columns, "seq"))
+
+    def settle(table: pa.Table, page: np.ndarray) -> pa.Table:
+        width, height = (table.column(c).to_numpy() for c in ("width", "height"))
+        of, size = ~np.isnan(width), np.full((2, page[-1] + 1), np.nan)
+        size[:, page[of]] = width[of], height[of]
+        table = table.append_column("_page", pa.array(page)).take(pa.array(np.flatnonzero(~of & ~np.isnan(size[0])[page])))
+        table = table.group_by(["_page", *P, *columns], use_threads=False).aggregate([("seq", "min")])
+        page = table.column("_page").to_numpy()
+        moved = {}
+        for x, y in (("x0", "y0"), ("x1", "y1")):
+            means = cluster_means(page, table.column(x).to_numpy(), table.column(y).to_numpy(), tol)
+            moved |= {c: pa.array(_snapped(v, size[i][page])) for i, (c, v) in enumerate(zip((x, y), means))}
+        table = pa.table({c: moved[c] if c in moved else table.column("seq_min" if c == "seq" else c) for c in (*P, *columns, "seq")})
+        table = table.group_by([*P, *columns], use_threads=False).aggregate([("seq", "min")])
+        return table.rename_columns([c.replace("seq_min", "seq") for c in table.column_names]).select([*P, *columns, "seq"])
+
+    return whole_pages(rows.unionByName(sizes), P, settle, schema)
 
 
 def intersections(segments: DataFrame, keys: list[str] = P) -> DataFrame:
@@ -40,31 +75,62 @@ def intersections(segments: DataFrame, keys: list[str] = P) -> DataFrame:
     h = segments.where("orientation = 'horizontal'").select(*keys, F.col("x0").alias("h0"), F.col("x1").alias("h1"), F.col("y0").alias("y")).distinct()
     v = segments.where("orientation = 'vertical'").select(*keys, F.col("y0").alias("v0"), F.col("y1").alias("v1"), F.col("x0").alias("x")).distinct()
     meet = F.col("x").between(F.col("h0"), F.col("h1")) & F.col("y").between(F.col("v0"), F.col("v1"))
-    return h.join(v, keys).where(meet).select(*keys, "x", "y").distinct()
+    h, v = h.withColumn("_strip", strip_of(F.col("y"))), v.withColumn("_strip", F.explode(strips(F.col("v0"), F.col("v1"))))
+    return h.join(v, [*keys, "_strip"]).where(meet).select(*keys, "x", "y").distinct()
+
+
+def _pairs(points: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, x1, x2, y: two points of the same height."""
+    a, b = points.select(*keys, F.col("x").alias("x1"), "y"), points.select(*keys, F.col("x").alias("x2"), "y")
+    return a.join(b, [*keys, "y"]).where("x1 < x2")
 
 
 def rectangles(points: DataFrame, keys: list[str] = P) -> DataFrame:
     """keys, x1, y1, x2, y2: all rectangles whose corners are points; sides need not be drawn."""
-    a, b = points.select(*keys, F.col("x").alias("x1"), "y"), points.select(*keys, F.col("x").alias("x2"), "y")
-    pairs = a.join(b, [*keys, "y"]).where("x1 < x2")
+    pairs = _pairs(points, keys)
     low, high = pairs.withColumnRenamed("y", "y1"), pairs.withColumnRenamed("y", "y2")
     return low.join(high, [*keys, "x1", "x2"]).where("y1 < y2").select(*keys, "x1", "y1", "x2", "y2")
 
 
+def _least(rects: DataFrame, keys: list[str], sides: tuple = ("y2", "x2", "y1", "x1")) -> DataFrame:
+    """Of the rectangles that have three sides in common only the least; each of the others contains it."""
+    for side in sides:
+        best = F.min if side in ("x2", "y2") else F.max
+        over = Window.partitionBy(*keys, *(c for c in ("x1", "y1", "x2", "y2") if c != side))
+        rects = rects.withColumn("_best", best(side).over(over)).where(F.col(side) == F.col("_best")).drop("_best")
+    return rects
+
+
+def _innermost(rects: DataFrame, keys: list[str]) -> DataFrame:
+    """Rectangles that contain no other; they meet in the strips that the outer one reaches."""
+    box = ["x1", "y1", "x2", "y2"]
+    o = rects.withColumn("_strip", F.explode(strips(F.col("y1"), F.col("y2")))).alias("o")
+    i = rects.withColumn("_strip", strip_of(F.col("y1"))).alias("i")
+    same = [F.col(f"o.{k}") == F.col(f"i.{k}") for k in (*keys, "_strip")]
+    inside = (F.col("o.x1") <= F.col("i.x1")) & (F.col("o.y1") <= F.col("i.y1")) & (F.col("o.x2") >= F.col("i.x2")) & (F.col("o.y2") >= F.col("i.y2"))
+    other = F.greatest(*(F.col(f"o.{c}") != F.col(f"i.{c}") for c in box))
+    outer = o.join(i, [*same, inside, other], "left_semi").select(*keys, *box)
+    return rects.join(outer, [*keys, *box], "left_anti")
+
+
 def level0(rects: DataFrame, keys: list[str] = P) -> DataFrame:
     """Rectangles that contain no other.
 
     Only those least in each direction, given their other three sides, can be; the rest
-    contain one of these. What is left is compared within its page.
+    contain one of these. What is left is compared strip by strip.
     """
-    kept = rects.distinct()
-    for fixed, side, best in ((["x1", "y1", "x2"], "y2", F.min), (["x1", "y1", "y2"], "x2", F.min), (["x1", "x2", "y2"], "y1", F.max), (["y1", "x2", "y2"], "x1", F.max)):
-        kept = kept.withColumn("_best", best(side).over(Window.partitionBy(*keys, *fixed))).where(F.col(side) == F.col("_best")).drop("_best")
-    o, i = kept.alias("o"), kept.alias("i")
-    same = [F.col(f"o.{k}") == F.col(f"i.{k}") for k in keys]
-    inside = (F.col("o.x1") <= F.col("i.x1")) & (F.col("o.y1") <= F.col("i.y1")) & (F.col("o.x2") >= F.col("i.x2")) & (F.col("o.y2") >= F.col("i.y2"))
-    other = (F.col("o.x1") != F.col("i.x1")) | (F.col("o.y1") != F.col("i.y1")) | (F.col("o.x2") != F.col("i.x2")) | (F.col("o.y2") != F.col("i.y2"))
-    return o.join(i, [*same, inside, other], "left_anti")
+    return _innermost(_least(rects.distinct(), keys), keys)
+
+
+def cell_boxes(points: DataFrame, keys: list[str] = P) -> DataFrame:
+    """level0 of all rectangles of the points, without building them all.
+
+    Over two points of the same height only the next two at the same x are taken: any
+    higher two make a rectangle that contains this one.
+    """
+    nearest = F.lead("y").over(Window.partitionBy(*keys, "x1", "x2").orderBy("y"))
+    rects = _pairs(points.distinct(), keys).withColumn("y2", nearest).where("y2 is not null").select(*keys, "x1", F.col("y").alias("y1"), "x2", "y2")
+    return _innermost(_least(rects, keys, ("x2", "x1")), keys)
 
 
 def empty_rectangles(rects: DataFrame, points: DataFrame, keys: list[str] = P) -> DataFrame:
@@ -74,28 +140,33 @@ def empty_rectangles(rects: DataFrame, points: DataFrame, keys: list[str] = P) -
     return r.join(p, [*(F.col(f"r.{k}") == F.col(f"p.{k}") for k in keys), inside], "left_anti")
 
 
+def _levels(box: np.ndarray) -> np.ndarray:
+    """Levels of one page's distinct rectangles (x1, y1, x2, y2)."""
+    level = np.zeros(len(box), np.int32)
+    order = np.argsort((box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1]), kind="stable")
+    x1, y1, x2, y2 = np.ascontiguousarray(box[order].T)
+    done = np.zeros(len(box), np.int32)
+    for n in range(len(box)):
+        held = (x1[:n] >= x1[n]) & (y1[:n] >= y1[n]) & (x2[:n] <= x2[n]) & (y2[:n] <= y2[n])
+        done[n] = np.max(done[:n], initial=-1, where=held) + 1
+    level[order] = done
+    return level
+
+
 def levels(rects: DataFrame) -> DataFrame:
     """All rectangles with their level: 0 if they contain none, else one more than the highest contained.
 
-    A page's chain needs its rectangles in order of area, so pages are dealt to Python.
+    A page's chain needs its rectangles in order of area, so whole pages go to Python.
     """
 
-    def per_page(df):
-        import numpy as np
-
-        df = df.drop_duplicates().reset_index(drop=True)
-        x1, y1, x2, y2 = (df[c].to_numpy() for c in ("x1", "y1", "x2", "y2"))
-        level = np.zeros(len(df), int)
-        order = np.argsort((x2 - x1) * (y2 - y1), kind="stable")
-        for n, i in enumerate(order):
-            small = order[:n]
-            held = small[(x1[small] >= x1[i]) & (y1[small] >= y1[i]) & (x2[small] <= x2[i]) & (y2[small] <= y2[i])]
-            if len(held):
-                level[i] = level[held].max() + 1
-        return df.assign(level=level)
+    def work(table: pa.Table, page: np.ndarray) -> pa.Table:
+        box = np.stack([table.column(c).to_numpy() for c in ("x1", "y1", "x2", "y2")], 1)
+        cuts = np.flatnonzero(np.diff(page)) + 1
+        level = np.concatenate([_levels(x) for x in np.split(box, cuts)])
+        return table.append_column("level", pa.array(level))
 
     schema = "doc_id string, page_number int, x1 double, y1 double, x2 double, y2 double, level int"
-    return dealt(rects.select(*P, "x1", "y1", "x2", "y2"), *P).groupBy(*P).applyInPandas(per_page, schema)
+    return whole_pages(rects.select(*P, "x1", "y1", "x2", "y2").distinct(), P, work, schema)
 
 
 def joined_text(order: Column, text: Column, separator: str = "") -> Column:
@@ -107,26 +178,32 @@ def cell_text(boxes: DataFrame, chars: DataFrame, tol: float = 3.0, lattice: boo
     """Boxes (P, x0, y0, x1, y1) with the text of the chars inside, by tol; '' without any.
 
     Text follows the stream, or for the lattice goes from top left to bottom right and is
-    stripped. A char may be in several cells.
+    stripped. A char may be in several cells. Chars and boxes meet strip by strip: a box in
+    all that it reaches by tol, a char in that of its lower edge (one that is upside down, in
+    all between its edges, and only the first that both have counts).
     """
+    b = boxes.select(*P, *BOX).distinct()
     c = chars.select(*P, "text", "seq", *(F.col(n).alias(f"c_{n}") for n in BOX))
+    c = c.withColumn("c_first", strip_of(F.least("c_y0", "c_y1"))).withColumn("_strip", F.explode(F.sequence("c_first", strip_of(F.col("c_y0")))))
+    reach = strips(F.col("y0") - tol, F.col("y1") + tol)
+    strip_b = b.withColumn("first", F.array_min(reach)).withColumn("_strip", F.explode(reach))
     inside = (F.col("c_x0") >= F.col("x0") - tol) & (F.col("c_x1") <= F.col("x1") + tol) & (F.col("c_y0") >= F.col("y0") - tol) & (F.col("c_y1") <= F.col("y1") + tol)
     order = F.struct(-F.col("c_y0"), F.col("c_x0"), F.col("seq")) if lattice else F.struct("seq")
-    b = boxes.select(*P, *BOX).distinct()
-    held = b.join(c, P).where(inside).groupBy(*P, *BOX).agg(joined_text(order, F.col("text")).alias("text"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return b.join(held, [*P, *BOX], "left").withColumn("text", strip(text) if lattice else text)
+    once = F.col("_strip") == F.greatest("first", "c_first")
+    held = strip_b.join(c, [*P, "_strip"]).where(inside & once).select(*P, *BOX, F.struct(order.alias("o"), F.col("text").alias("t")).alias("held"))
+    empty = b.select(*P, *BOX, F.lit(None).cast(held.schema["held"].dataType).alias("held"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("held")), lambda x: x["t"]), "")
+    return held.unionByName(empty).groupBy(*P, *BOX).agg((strip(text) if lattice else text).alias("text"))
 
 
 def cells(pages: DataFrame, chars: DataFrame, segments: DataFrame, tol: float = 3.0, clean_chars: bool = True) -> DataFrame:
     """P, cell_no, x0, y0, x1, y1, width, height, text of ruled pages; cells count by x0, then from the top."""
-    chars = read_objects(chars, ["text", *BOX])
-    if clean_chars:
-        chars = clean_coords(chars, pages, ["text", *BOX], tol)
-    segments = clean_coords(read_segments(segments), pages, ["kind", *BOX, "orientation"], tol)
-    points = scratch_table(intersections(scratch_table(segments, "segments")), "points")  # read many times below
-    boxes = level0(rectangles(points)).select(*P, F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"))
-    found = cell_text(boxes, chars, tol)
+    chars = clean_coords(chars, pages, ["text", *BOX], tol) if clean_chars else read_objects(chars, ["text", *BOX])
+    segments = segments.withColumn("orientation", orientation(*map(F.col, BOX)))
+    segments = clean_coords(segments, pages, ["kind", *BOX, "orientation"], tol)
+    points = scratch_table(intersections(scratch_table(segments, "segments")), "points")  # read twice below
+    boxes = cell_boxes(points).select(*P, F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"))
+    found = cell_text(scratch_table(boxes, "boxes"), chars, tol)
     number = F.row_number().over(Window.partitionBy(*P).orderBy("x0", F.desc("y0"), "x1", "y1")) - 1
     return found.select(*P, number.alias("cell_no"), *BOX, F.abs(F.col("x1") - F.col("x0")).alias("width"), F.abs(F.col("y1") - F.col("y0")).alias("height"), "text")
 

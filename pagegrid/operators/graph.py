@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,12 +84,51 @@ def page_components(nodes: DataFrame, links: DataFrame, keys: list[str], node: s
     return dealt(nodes, *keys).groupBy(*keys).cogroup(pairs).applyInPandas(per_page, schema)
 
 
-def _near_pairs(x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of points at most eps apart: points meet those of their own and neighbouring squares of side eps."""
-    bx, by = np.floor(x / eps).astype(np.int64), np.floor(y / eps).astype(np.int64)
-    by -= by.min()
+def whole_pages(df: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """work(rows, page) over rows of whole pages; page numbers them from 0. Many pages go in one call.
+
+    Memory follows the largest page: a page that ends in a batch waits for the next batch.
+    """
+    at = [df.columns.index(k) for k in keys]
+
+    def numbers(table: pa.Table) -> np.ndarray:
+        new = np.zeros(len(table), bool)
+        for i in at:
+            codes = table.column(i).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            new[1:] |= codes[1:] != codes[:-1]
+        return np.cumsum(new)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            page = numbers(table)
+            last = int(np.searchsorted(page, page[-1]))
+            held = table.slice(last)
+            if last:
+                yield from work(table.slice(0, last), page[:last]).to_batches()
+        if held is not None:
+            yield from work(held, np.zeros(len(held), int)).to_batches()
+
+    return dealt(df, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _packed(v: np.ndarray) -> np.ndarray:
+    """Whole numbers brought close together; neighbours stay neighbours and others stay apart."""
+    known, at = np.unique(v, return_inverse=True)
+    return np.concatenate([[0], np.cumsum(np.where(np.diff(known) == 1, 1, 2))])[at]
+
+
+def _near_pairs(page: np.ndarray, x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of points of a page at most eps apart: points meet those of their own and neighbouring squares of side eps."""
+    if not len(x):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bx, by = _packed(np.floor(x / eps)), _packed(np.floor(y / eps))
     wide = by.max() + 3
-    square = (bx - bx.min()) * wide + by
+    square = (page * (bx.max() + 3) + bx) * wide + by
     order = np.argsort(square, kind="stable")
     found = [[], []]
     for dx, dy in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1)):
@@ -101,32 +143,41 @@ def _near_pairs(x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, n
     return np.concatenate(found[0]), np.concatenate(found[1])
 
 
-def cluster_means(x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
-    """For each point the mean of all points of its cluster, repeated ones too."""
-    spots, at, weight = np.unique(np.stack([x, y], 1), axis=0, return_inverse=True, return_counts=True)
-    label = _least_labels(len(spots), *_near_pairs(spots[:, 0], spots[:, 1], eps))
+def cluster_means(page: np.ndarray, x: np.ndarray, y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each point the mean of all points of its page's cluster, repeated ones too."""
+    order = np.lexsort((y, x, page))
+    p, q, r = page[order], x[order], y[order]
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1]) | (q[1:] != q[:-1]) | (r[1:] != r[:-1])
+    spot = np.cumsum(new) - 1
+    weight = np.bincount(spot)
+    label = _least_labels(len(weight), *_near_pairs(p[new], q[new], r[new], eps))
     total = np.bincount(label, weight)
-    means = [np.bincount(label, weight * spots[:, i])[label] / total[label] for i in (0, 1)]
-    return means[0][at.ravel()], means[1][at.ravel()]
+    out = []
+    for v in (q[new], r[new]):
+        mean = np.empty(len(p))
+        mean[order] = (np.bincount(label, weight * v)[label] / total[label])[spot]
+        out.append(mean)
+    return out[0], out[1]
 
 
 def epsilon_clusters(points: DataFrame, keys: list[str], x: str = "x", y: str = "y", eps: float = 3.0) -> DataFrame:
     """keys, x, y, weight, component_x, component_y: distinct points linked when at most eps apart.
 
     These are the clusters of DBSCAN with one point as its least; a cluster is named by its
-    smallest point. Points are counted before the shuffle; each page is settled in one go.
-    Points with a null are left out.
+    smallest point. Points are counted before the shuffle. Points with a null are left out.
     """
-    spots = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("weight"))
+    spots = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).agg(F.count("*").alias("weight"))
 
-    def per_page(df):
-        df = df.sort_values(["x", "y"], ignore_index=True)
-        px, py = df["x"].to_numpy(), df["y"].to_numpy()
-        label = _least_labels(len(df), *_near_pairs(px, py, eps))
-        return df.assign(component_x=px[label], component_y=py[label])
+    def name(table: pa.Table, page: np.ndarray) -> pa.Table:
+        px, py = (table.column(c).to_numpy() for c in ("x", "y"))
+        order = np.lexsort((py, px, page))
+        px, py = px[order], py[order]
+        label = _least_labels(len(px), *_near_pairs(page[order], px, py, eps))
+        return table.take(pa.array(order)).append_column("component_x", pa.array(px[label])).append_column("component_y", pa.array(py[label]))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spots.schema) + ", component_x double, component_y double"
-    return dealt(spots, *keys).groupBy(*keys).applyInPandas(per_page, schema)
+    return whole_pages(spots, keys, name, schema)
 
 
 def centroids(points: DataFrame, keys: list[str], x: str = "x", y: str = "y", eps: float = 3.0) -> DataFrame:

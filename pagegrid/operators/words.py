@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagegrid.functions.geometry import orientation_header, strip, x_bucket
-from pagegrid.operators.cells import joined_text
+from pagegrid.operators.cells import joined_text, strip_of, strips
 from pagegrid.operators.intervals import island
+from pagegrid.runtime import dealt
 from pagegrid.schema import BOX, P
 
 BAND = [*P, "band_no"]
@@ -23,8 +24,16 @@ def bands(segments: DataFrame, tol: float = 2.0) -> DataFrame:
 
 
 def band_chars(chars: DataFrame, of: DataFrame) -> DataFrame:
-    """Chars that lie in a band, with its number."""
-    return chars.join(of, P).where((F.col("y0") >= F.col("lower_y")) & (F.col("y1") <= F.col("upper_y"))).select(*BAND, "seq", "text", *BOX)
+    """Chars that lie in a band, with its number, dealt by bands, so that all that follows in a band needs no shuffle.
+
+    They meet strip by strip, as chars and cells do; a char that is upside down may be in
+    several strips and bands.
+    """
+    c = chars.select(*P, "seq", "text", *BOX).withColumn("c_first", strip_of(F.least("y0", "y1"))).withColumn("_strip", F.explode(F.sequence("c_first", strip_of(F.col("y0")))))
+    reach = strips(F.col("lower_y"), F.col("upper_y"))
+    b = of.withColumn("first", F.array_min(reach)).withColumn("_strip", F.explode(reach))
+    inside = (F.col("y0") >= F.col("lower_y")) & (F.col("y1") <= F.col("upper_y")) & (F.col("_strip") == F.greatest("first", "c_first"))
+    return dealt(c.join(b, [*P, "_strip"]).where(inside).select(*BAND, "seq", "text", *BOX), *BAND)
 
 
 def words(chars: DataFrame, tol: float = 2.0, keys: list[str] = BAND) -> DataFrame:

@@ -216,7 +216,7 @@ def rectangles(spark, sf_dir):
 
 @query(DRAWN + "SELECT doc_id, page_number, x0 AS x1, y0 AS y1, x1 AS x2, y1 AS y2 FROM boxes")
 def level0_rectangles(spark, sf_dir):
-    return _ints(C.level0(C.rectangles(C.intersections(_segments(spark, sf_dir)))), "x1", "y1", "x2", "y2")
+    return _ints(C.cell_boxes(C.intersections(_segments(spark, sf_dir))), "x1", "y1", "x2", "y2")
 
 
 @query(DRAWN + SPANS + "SELECT doc_id, page_number, x1, y1, x2, y2 FROM spans WHERE w = 1 OR h = 1")
