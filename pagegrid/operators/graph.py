@@ -77,7 +77,7 @@ def page_components(nodes: DataFrame, links: DataFrame, keys: list[str], node: s
 
     kind = nodes.schema[node].dataType.simpleString()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema) + f", component {kind}"
-    # Links often come from the same table: its keys get other names, so that each side has its own.
+    # Links often come from the same frame: its keys get other names, so that each side has its own.
     renamed = [F.col(k).alias(f"_link_{k}") for k in keys]
     theirs = [f"_link_{k}" for k in keys]
     pairs = dealt(links.select(*renamed, "a", "b"), *theirs).groupBy(*theirs)

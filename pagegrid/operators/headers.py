@@ -59,8 +59,20 @@ class NGramEmbedder:
         return counts.select("text", "dim", (F.col("c") / norm).alias("weight"))
 
 
+_models: dict[str, object] = {}
+
+
+def loaded_model(name: str):
+    """A sentence transformer, loaded by a worker when it is first asked for."""
+    if name not in _models:
+        from sentence_transformers import SentenceTransformer
+
+        _models[name] = SentenceTransformer(name)
+    return _models[name]
+
+
 class TransformerEmbedder:
-    """A sentence transformer, where its library and weights are installed (untested offline)."""
+    """A sentence transformer, where its library and weights are installed. The empty text has no vector."""
 
     def __init__(self, name: str = "sentence-transformers/all-MiniLM-L6-v2"):
         self.name = name
@@ -69,9 +81,9 @@ class TransformerEmbedder:
         name = self.name
 
         def run(batches):
-            from sentence_transformers import SentenceTransformer  # loaded once a worker task
+            from pagegrid.operators import headers  # the worker's own module, which keeps the model from task to task
 
-            model = SentenceTransformer(name)
+            model = headers.loaded_model(name)
             for df in batches:
                 df["v"] = list(model.encode(list(df["text"]), normalize_embeddings=True).astype(float))
                 yield df
@@ -80,11 +92,27 @@ class TransformerEmbedder:
         return dense.select("text", F.posexplode("v").alias("dim", "weight"))
 
 
+_DEFAULT = NGramEmbedder()
+
+
 def keywords(spark: SparkSession, profile: str = "table") -> DataFrame:
     words = KEYWORDS + (BLOCK_KEYWORDS if profile == "block" else [])
     return spark.createDataFrame([(w,) for w in words], "text string")
 
 
+_known: dict[tuple, list] = {}
+
+
+def known_vectors(spark: SparkSession, profile: str = "table", embedder: TextEmbedder | None = None) -> DataFrame:
+    """(text, dim, weight) of a profile's keywords, embedded once for each embedder: a fixed list of some 140 texts."""
+    embedder = embedder or _DEFAULT
+    vectors = embedder.embed(keywords(spark, profile))
+    key = (profile, id(embedder))
+    if key not in _known:
+        _known[key] = [embedder, [tuple(r) for r in vectors.collect()]]  # the embedder stays, and so does its id
+    return spark.createDataFrame(_known[key][1], vectors.schema)
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two dense vectors of equal length; null if one is zero."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
@@ -94,11 +122,11 @@ def cosine(a: Column, b: Column) -> Column:
 def keyword_similarity(texts: DataFrame, known: DataFrame, embedder: TextEmbedder | None = None) -> DataFrame:
     """text, keyword, similarity for distinct texts and keywords with a dimension in common; others are at 0.
 
-    Texts meet keywords through shared dimensions, not each with each. The keywords' few
+    known: the keywords' texts, or their vectors (known_vectors). Texts meet keywords through shared dimensions, not each with each. The keywords' few
     hundred dimensions are small enough to be broadcast by size.
     """
-    embedder = embedder or NGramEmbedder()
-    mine, theirs = embedder.embed(texts), embedder.embed(known)
+    embedder = embedder or _DEFAULT
+    mine, theirs = embedder.embed(texts), known if "dim" in known.columns else embedder.embed(known)
     pairs = mine.join(theirs.select(F.col("text").alias("keyword"), "dim", F.col("weight").alias("w2")), "dim")
     return pairs.groupBy("text", "keyword").agg(F.sum(F.col("weight") * F.col("w2")).alias("similarity"))
 
@@ -112,7 +140,7 @@ def best_similarity(texts: DataFrame, known: DataFrame, embedder: TextEmbedder |
 def header_rows(rows: DataFrame, threshold: float = 0.8, embedder: TextEmbedder | None = None) -> DataFrame:
     """The first row of each document, from the top, with a cell more similar to a keyword than the threshold."""
     lowered = rows.select(*P, "group_no", "y0", F.explode(F.transform("texts", lambda t: F.lower(t))).alias("text"))
-    known = keywords(rows.sparkSession)
+    known = known_vectors(rows.sparkSession, "table", embedder)
     scored = lowered.join(best_similarity(lowered, known, embedder), "text")
     best = scored.groupBy(*P, "group_no").agg(F.max("similarity").alias("max_similarity")).where(F.col("max_similarity") > threshold)
     over = Window.partitionBy("doc_id").orderBy("page_number", "group_no")  # rows count from the top
@@ -143,7 +171,7 @@ def header_blocks(chars: DataFrame, segments: DataFrame, config: Config = Config
     found = W.words(W.band_chars(chars, of), config.char_tol)
     found = W.phrases(W.logical_cells(found, config.x_gap, config.y_proximity), config.phrase_tol)
     found = found.withColumn("text", strip(F.col("text")))
-    known = keywords(chars.sparkSession, "block")
+    known = known_vectors(chars.sparkSession, "block", embedder)
     scored = found.join(best_similarity(found.where("text <> ''"), known, embedder), "text", "left")
     phrase = F.struct("ordinal", F.struct("text", *BOX).alias("p"))
     spoken = F.col("text") != ""

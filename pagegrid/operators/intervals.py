@@ -42,7 +42,7 @@ def squash(df: DataFrame, keys: list[str], value: str, tol: float = 3.0, first_s
     if first_seen is None:
         over = by_key.orderBy(value)
     else:
-        values = values.withColumn("_later", F.row_number().over(by_key.orderBy("_seen")) > 1)
+        values = values.withColumn("_later", F.row_number().over(by_key.orderBy(F.asc_nulls_last("_seen"), value)) > 1)
         over = by_key.orderBy("_later", value)
     prior = F.lag(value).over(over)
     values = values.withColumn("_new", prior.isNull() | (F.abs(F.col(value) - prior) > tol)).withColumn("cluster", island(F.col("_new"), over))

@@ -18,28 +18,37 @@ def _oriented(lines: DataFrame) -> DataFrame:
 
 
 def all_lines(segments: DataFrame, rects: DataFrame) -> DataFrame:
-    """P, box, orientation: lines, edges and the sides of rectangles, without repetitions."""
-    sides = rects.select(*P, F.explode(rect_lines(*map(F.col, BOX))).alias("s")).select(*P, "s.*")
-    return _oriented(segments.select(*P, *BOX).unionByName(sides)).distinct()
+    """P, box, orientation, seq: lines, edges and the sides of rectangles, without repetitions.
+
+    seq tells which came first: lines and edges by the stream, then rectangles with their sides.
+    """
+    after = F.lit(1 << 40) + 4 * F.coalesce("seq", F.lit(0))
+    sides = rects.select(*P, after.alias("from"), F.posexplode(rect_lines(*map(F.col, BOX))).alias("side", "s")).select(*P, "s.*", (F.col("from") + F.col("side")).alias("seq"))
+    return _once(_oriented(segments.select(*P, *BOX, F.col("seq").cast("long").alias("seq")).unionByName(sides)))
+
+
+def _once(lines: DataFrame) -> DataFrame:
+    return lines.groupBy(*P, *BOX, "orientation").agg(F.min("seq").alias("seq"))
 
 
 def clean_lines(lines: DataFrame, pages: DataFrame, config: Config = Config()) -> DataFrame:
     """Snapped lines, and those merged, squashed and long enough that come of them."""
     snapped = lines.join(pages.select(*P, "width", "height"), P)
-    snapped = snapped.select(*P, *(snap_to_grid(F.col(c), F.col("width" if c[0] == "x" else "height")).alias(c) for c in BOX), "orientation")
-    out = snapped.select(*P, *BOX)
+    snapped = snapped.select(*P, *(snap_to_grid(F.col(c), F.col("width" if c[0] == "x" else "height")).alias(c) for c in BOX), "orientation", "seq")
+    out = snapped.select(*P, *BOX, "seq")
     for axis, along, kind in (("y", "x", "horizontal"), ("x", "y", "vertical")):
         merged = merge_lines(snapped.where(F.col("orientation") == kind), axis, config.tol)
         close = squash(merged, P, f"{axis}0", config.tol).drop("cluster")
         merged = merged.join(close, [*P, f"{axis}0"]).withColumns({f"{axis}0": F.col("squashed"), f"{axis}1": F.col("squashed")})
-        out = out.unionByName(merged.where(F.abs(F.col(f"{along}1") - F.col(f"{along}0")) > config.min_length).select(*P, *BOX))
-    return _oriented(out).distinct()
+        out = out.unionByName(merged.where(F.abs(F.col(f"{along}1") - F.col(f"{along}0")) > config.min_length).select(*P, *BOX, F.lit(None).cast("long").alias("seq")))
+    return _once(_oriented(out))
 
 
 def finalise_lines(lines: DataFrame, config: Config = Config()) -> DataFrame:
     """Lines clustered over both axes and made longer at both ends."""
-    flat = cluster_lines(lines.where("orientation = 'horizontal'"), "y", config.tol)
-    up = cluster_lines(lines.where("orientation = 'vertical'"), "x", config.tol)
+    seen = "seq" if config.first_seen else None
+    flat = cluster_lines(lines.where("orientation = 'horizontal'"), "y", config.tol, first_seen=seen)
+    up = cluster_lines(lines.where("orientation = 'vertical'"), "x", config.tol, first_seen=seen)
     longer = flat.unionByName(up).select(*P, extend_line(*map(F.col, BOX), by=config.extension).alias("s")).select(*P, "s.*")
     return _oriented(longer).distinct()
 
@@ -167,7 +176,12 @@ def merge_small_cells(cells: DataFrame, tol: float = 3.0) -> DataFrame:
 
 
 def connected_groups(cells: DataFrame, links: DataFrame, directions: list[str], order: list[Column], least: int = 1) -> DataFrame:
-    """P, group_no, box, length, texts of cells connected in some directions; texts without empty ones."""
+    """P, group_no, box, length, texts of cells connected in some directions; texts without empty ones.
+
+    A link connects both its cells, whichever side it was found from. Following links one
+    way only, from the first cell on, gives other groups where a cell is the last neighbour
+    of two others: the first of these has lost it then, and here it has not.
+    """
     edges = links.where(F.col("direction").isin(directions)).select(*P, F.col("cell_no").alias("a"), F.col("neighbour_no").alias("b"))
     found = page_components(cells.select(*P, "cell_no", *BOX, "text"), edges, P, "cell_no")
     texts = F.filter(F.transform(F.array_sort(F.collect_list(F.struct("cell_no", "text"))), lambda x: x["text"]), lambda t: t != "")
@@ -187,5 +201,5 @@ def columns(cells: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def grids(cells: DataFrame, links: DataFrame) -> DataFrame:
-    """Connected tables; stray cells are none."""
+    """All that is connected in any direction; stray cells are none."""
     return connected_groups(cells, links, list(SIDES), [F.col("component")], least=2)

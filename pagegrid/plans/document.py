@@ -52,7 +52,14 @@ class Documents:
     def table_structure(self) -> DataFrame:
         return H.table_structure(self.header_row)
 
-    def tables(self) -> DataFrame:
+    def counts(self) -> DataFrame:
+        """doc_id, page_number, cells, rows, columns: how many there are on each page that has cells."""
+        out = self.cells.groupBy(*P).agg(F.count("*").alias("cells"))
+        for name, found in (("rows", self.rows), ("columns", self.columns)):
+            out = out.join(found.groupBy(*P).agg(F.count("*").alias(name)), P)
+        return out
+
+    def body(self) -> DataFrame:
         """doc_id, header, rows: a document's rows below its header, in order."""
         row = F.struct("ordinal", "texts")
         body = self.rows.join(self.header_row.select("doc_id", F.col("ordinal").alias("head"), F.col("texts").alias("header")), "doc_id").where("ordinal > head")
@@ -67,7 +74,11 @@ class Documents:
 
 
 class LatticePages:
-    """Pages whose grid has gaps: linked cells, and the rows, columns and tables they connect to."""
+    """Pages whose grid has gaps: linked cells, and the rows, columns and grids they connect to.
+
+    Cells are linked anew after small ones were merged, so no link leads to a cell that is gone
+    or that has grown away.
+    """
 
     def __init__(self, frames: dict[str, DataFrame], config: Config = Config()):
         self.frames, self.config = frames, config

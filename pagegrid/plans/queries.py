@@ -1,4 +1,4 @@
-"""A query for each operator over the driver's tables, and DuckDB SQL with the same result.
+"""A query for each operator over the driver's data, and DuckDB SQL with the same result.
 
 Page objects are drawn from the orders table, so the SQL can tell what must be found
 from the source rows, or from the drawing's rule, without any of the operators.
@@ -17,7 +17,7 @@ from pagegrid.operators import graph, headers, intervals, words
 from pagegrid.operators import lattice as L
 from pagegrid.plans.document import Documents, LatticePages, header_blocks
 from pagegrid.runtime import attach_workers
-from pagegrid.schema import BOX, P, Config
+from pagegrid.schema import BOX, P
 from pagegrid.sources import render as R
 from pagegrid.sources import sinks
 from pagegrid.sources.page_objects import page_subset
@@ -163,9 +163,9 @@ def span_tests(spark, sf_dir):
 @query(
     DRAWN
     + """
-    SELECT a.doc_id, a.page_number, a.line, a.col, b.line AS line2, b.col AS col2,
-           CAST(CASE WHEN a.line = b.line THEN 20 ELSE a.x1 - a.x0 END AS INTEGER) AS shared FROM boxes a JOIN boxes b ON a.doc_id = b.doc_id AND a.page_number = b.page_number
-    WHERE abs(a.line - b.line) + abs(a.col - b.col) = 1
+    , sides AS (SELECT *, unnest([1, -1, 0, 0]) AS over_col, unnest([0, 0, 1, -1]) AS over_line FROM boxes)
+    SELECT a.doc_id, a.page_number, a.line, a.col, b.line AS line2, b.col AS col2, CAST(CASE WHEN over_line = 0 THEN 20 ELSE a.x1 - a.x0 END AS INTEGER) AS shared
+    FROM sides a JOIN boxes b ON a.doc_id = b.doc_id AND a.page_number = b.page_number AND b.line = a.line + over_line AND b.col = a.col + over_col
 """
 )
 def shared_boundary(spark, sf_dir):
@@ -190,6 +190,18 @@ def rect_to_lines(spark, sf_dir):
 
 # Ruled pages.
 
+_drawn: dict[tuple, Documents] = {}
+
+
+def _documents(spark, sf_dir) -> Documents:
+    """The drawn statements; their cells are found once in a session, as long as the orders stay as they are."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/orders.parquet")
+    file = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at)
+    key = (spark.sparkContext.applicationId, sf_dir, file.getModificationTime(), file.getLen())
+    if key not in _drawn:
+        _drawn[key] = Documents(R.render(spark, sf_dir))
+    return _drawn[key]
+
 
 def _segments(spark, sf_dir):
     return C.read_segments(R.render(spark, sf_dir)["segments"])
@@ -251,7 +263,7 @@ def raster_corners(spark, sf_dir):
 
 @query(DRAWN + "SELECT doc_id, page_number, CAST(row_number() OVER (PARTITION BY doc_id, page_number ORDER BY x0, y0 DESC) - 1 AS INTEGER) AS cell_no, x0, y0, x1, y1, x1 - x0 AS width, y1 - y0 AS height, text FROM boxes")
 def cells_roundtrip(spark, sf_dir):
-    return _ints(Documents(R.render(spark, sf_dir)).cells.drop("ordinal"), *BOX, "width", "height", "cell_no")
+    return _ints(_documents(spark, sf_dir).cells.drop("ordinal"), *BOX, "width", "height", "cell_no")
 
 
 ORDINAL = "CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_number, y0 DESC, x0) - 1 AS INTEGER) AS ordinal"
@@ -259,39 +271,39 @@ ORDINAL = "CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_number, y0
 
 @query(DRAWN + f"SELECT doc_id, page_number, {ORDINAL}, x0, y0, text FROM boxes")
 def document_cells(spark, sf_dir):
-    return _ints(Documents(R.render(spark, sf_dir)).cells.select(*P, "ordinal", "x0", "y0", "text"), "x0", "y0", "ordinal")
+    return _ints(_documents(spark, sf_dir).cells.select(*P, "ordinal", "x0", "y0", "text"), "x0", "y0", "ordinal")
 
 
 @query(DRAWN + f"SELECT doc_id, ordinal, format('Pg: {{}}, Cell {{}}: Cell(Pg:{{}}, ({{}}, {{}})-({{}}, {{}})), Text: ''{{}}''', page_number, ordinal, page_number, x0, y0, x1, y1, text) AS line FROM (SELECT *, {ORDINAL} FROM boxes)")
 def cell_sink_lines(spark, sf_dir):
-    return _ints(sinks.document_cell_lines(Documents(R.render(spark, sf_dir)).cells), "ordinal")
+    return _ints(sinks.document_cell_lines(_documents(spark, sf_dir).cells), "ordinal")
 
 
 @query(DRAWN + "SELECT doc_id, page_number, line AS group_no, 40 AS x0, 760 - 20 * line AS y0, 380 AS x1, 780 - 20 * line AS y1, 4 AS length, array_to_string(texts, '|') AS texts FROM r")
 def rows(spark, sf_dir):
-    return _ints(Documents(R.render(spark, sf_dir)).rows.select(*P, "group_no", *BOX, "length", F.array_join("texts", "|").alias("texts")), *BOX, "group_no")
+    return _ints(_documents(spark, sf_dir).rows.select(*P, "group_no", *BOX, "length", F.array_join("texts", "|").alias("texts")), *BOX, "group_no")
 
 
 @query(DRAWN + "SELECT doc_id, page_number, col AS group_no, x0, min(y0) AS y0, x1, max(y1) AS y1, CAST(count(*) AS INTEGER) AS length, string_agg(text, '|' ORDER BY y0) AS texts FROM boxes GROUP BY doc_id, page_number, col, x0, x1")
 def columns(spark, sf_dir):
-    return _ints(Documents(R.render(spark, sf_dir)).columns.select(*P, "group_no", *BOX, "length", F.array_join("texts", "|").alias("texts")), *BOX, "group_no")
+    return _ints(_documents(spark, sf_dir).columns.select(*P, "group_no", *BOX, "length", F.array_join("texts", "|").alias("texts")), *BOX, "group_no")
 
 
 @query(DRAWN + "SELECT DISTINCT doc_id, 1 AS page_number, 0 AS group_no, 1.0::DOUBLE AS max_similarity FROM pages")
 def header_row(spark, sf_dir):
-    found = Documents(R.render(spark, sf_dir)).header_row
+    found = _documents(spark, sf_dir).header_row
     return _ints(found.select(*P, "group_no", F.round("max_similarity", 6).alias("max_similarity")), "group_no")
 
 
 @query(DRAWN + "SELECT DISTINCT doc_id, 4 AS num_cells, '40,120,220,280' AS column_x, '80,100,60,100' AS column_width FROM pages")
 def table_structure(spark, sf_dir):
-    found = Documents(R.render(spark, sf_dir)).table_structure
+    found = _documents(spark, sf_dir).table_structure
     return found.select("doc_id", "num_cells", *(F.array_join(F.col(c).cast("array<int>"), ",").alias(c) for c in ("column_x", "column_width")))
 
 
 @query(DRAWN + "SELECT doc_id, 'Date|Description|Status|Amount' AS header, string_agg(array_to_string(texts, '|'), chr(10) ORDER BY page_number, line) AS lines FROM r WHERE page_number > 1 OR line > 0 GROUP BY doc_id")
-def tables(spark, sf_dir):
-    found = Documents(R.render(spark, sf_dir)).tables()
+def document_body(spark, sf_dir):
+    found = _documents(spark, sf_dir).body()
     lines = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "\n")
     return found.select("doc_id", F.array_join("header", "|").alias("header"), lines.alias("lines"))
 
@@ -393,9 +405,16 @@ def lattice_cells(spark, sf_dir):
     return _ints(LatticePages(R.render(spark, sf_dir)).found_cells.select(*P, *BOX, "text"))
 
 
-@query(None)
+@query(
+    DRAWN
+    + """
+    SELECT doc_id, page_number, CAST(col * n + n - 1 - line AS INTEGER) AS cell_no, CASE WHEN col = 0 THEN 38 ELSE x0 END AS x0, CASE WHEN line = n - 1 THEN y0 - 2 ELSE y0 END AS y0,
+           x1, CASE WHEN line = 0 THEN y1 + 2 ELSE y1 END AS y1, text FROM boxes JOIN pages USING (doc_id, page_number)
+    UNION ALL SELECT doc_id, page_number, 4 * n, 380, 778 - 20 * n, 382, 782, '' FROM pages
+"""
+)
 def merge_small_cells(spark, sf_dir):
-    """The outcome depends on the order within a page: no SQL."""
+    """Lines reach 2 points over the grid: the cells there go into their neighbours, but for one down the right side."""
     return _ints(LatticePages(R.render(spark, sf_dir)).cells.select(*P, "cell_no", *BOX, "text"))
 
 
@@ -414,8 +433,9 @@ LINKS = """
     DRAWN
     + LINKS
     + """
-    SELECT a.doc_id, a.page_number, a.cell_no, CASE WHEN b.col < a.col THEN 'left' WHEN b.col > a.col THEN 'right' WHEN b.line > a.line THEN 'top' ELSE 'bottom' END AS direction, b.cell_no AS neighbour_no
-    FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND a.page_number = b.page_number WHERE abs(a.line - b.line) + abs(a.col - b.col) = 1 AND (a.line = b.line OR a.col = b.col)
+    , sides AS (SELECT *, unnest([1, -1, 0, 0]) AS over_col, unnest([0, 0, 1, -1]) AS over_line, unnest(['right', 'left', 'top', 'bottom']) AS direction FROM numbered)
+    SELECT a.doc_id, a.page_number, a.cell_no, a.direction, b.cell_no AS neighbour_no
+    FROM sides a JOIN numbered b ON a.doc_id = b.doc_id AND a.page_number = b.page_number AND b.line = a.line + over_line AND b.col = a.col + over_col
 """
 )
 def cell_links(spark, sf_dir):
@@ -518,10 +538,58 @@ def header_sink_lines(spark, sf_dir):
     return _ints(sinks.header_block_lines(blocks), "ordinal")
 
 
-@query("SELECT a.vec_id, round(max(list_cosine_similarity(a.embedding, b.embedding)), 4) AS similarity FROM embeddings a, embeddings b WHERE b.vec_id < 10 AND a.vec_id >= 10 GROUP BY a.vec_id")
+@query(
+    """
+    WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    m AS (SELECT label, i, avg(v[i]) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e) GROUP BY label, i),
+    means AS (SELECT label, list(x ORDER BY i) AS mean FROM m GROUP BY label)
+    SELECT vec_id, label, round(list_cosine_similarity(v, mean), 6) AS similarity FROM e JOIN means USING (label)
+"""
+)
 def embedding_similarity(spark, sf_dir):
-    """Each vector against ten known ones, as texts are against keywords."""
-    vectors = _table(spark, sf_dir, "embeddings")
-    known = vectors.where("vec_id < 10").agg(F.collect_list("embedding").alias("known"))  # ten vectors
-    best = F.array_max(F.transform("known", lambda k: headers.cosine(F.col("embedding"), k)))
-    return vectors.where("vec_id >= 10").crossJoin(F.broadcast(known)).select("vec_id", F.round(best, 4).alias("similarity"))
+    """Each vector against the mean of all vectors of its label."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    means = vectors.select("label", F.posexplode("v").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("x"))
+    means = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("mean"))
+    return vectors.join(means, "label").select("vec_id", "label", F.round(headers.cosine(F.col("v"), F.col("mean")), 6).alias("similarity"))
+
+
+@query(DRAWN + LINKS + "SELECT doc_id, page_number, CAST(cell_no AS INTEGER) AS cell_no, format('Cell {}: Cell(({}, {})-({}, {})), Text: {}{}{}', cell_no, CAST(x0 AS DOUBLE)::VARCHAR, CAST(y0 AS DOUBLE)::VARCHAR, CAST(x1 AS DOUBLE)::VARCHAR, CAST(y1 AS DOUBLE)::VARCHAR, chr(39), text, chr(39)) AS line FROM numbered")
+def page_sink_lines(spark, sf_dir):
+    return _ints(sinks.page_cell_lines(_numbered(spark, sf_dir)), "cell_no")
+
+
+@query(
+    DRAWN
+    + """
+    SELECT 'row' AS kind, doc_id, page_number, line AS group_no, array_to_string(texts, '|') AS texts FROM r WHERE page_number = 2
+    UNION ALL SELECT 'column', doc_id, page_number, col, string_agg(text, '|' ORDER BY y0) FROM boxes WHERE page_number = 1 GROUP BY doc_id, page_number, col
+"""
+)
+def page_filter(spark, sf_dir):
+    """Rows of second pages and columns of first ones."""
+    found = _documents(spark, sf_dir)
+    both = [x.select(F.lit(kind).alias("kind"), *P, F.col("group_no").cast("int").alias("group_no"), F.array_join("texts", "|").alias("texts")) for kind, x in (("row", found.get_rows(2)), ("column", found.get_columns(1)))]
+    return both[0].unionByName(both[1])
+
+
+@query(DRAWN + "SELECT doc_id, page_number, CAST(4 * n AS BIGINT) AS cells, CAST(n AS BIGINT) AS rows, CAST(4 AS BIGINT) AS columns FROM pages")
+def page_counts(spark, sf_dir):
+    return _documents(spark, sf_dir).counts()
+
+
+@query(
+    DRAWN
+    + """
+    , d AS (SELECT doc_id, CAST(doc_id AS BIGINT) AS k, count(*) AS pages FROM pages GROUP BY doc_id)
+    SELECT doc_id, 'header' AS stage, 'no header row' AS message FROM d WHERE k % 3 = 0
+    UNION ALL SELECT doc_id, 'chars', format('{} objects without coordinates', pages) FROM d WHERE k % 5 = 0 AND k % 3 <> 0
+"""
+)
+def document_errors(spark, sf_dir):
+    """Every third document has no titles; every fifth of the others has lost a coordinate of each page's first char."""
+    frames = R.render(spark, sf_dir)
+    key = F.col("doc_id").cast("long")
+    chars = frames["chars"].where(~((key % 3 == 0) & (F.col("seq") < 4000)))
+    x0 = F.when(~((key % 5 == 0) & (F.col("seq") == 1)), F.col("x0"))
+    return Documents(frames | {"chars": chars.withColumn("x0", x0)}).errors()

@@ -28,7 +28,11 @@ RECTS = _frame(_BOX, {"seq": T.LongType()})
 
 @dataclass(frozen=True)
 class Config:
-    """tol: points within which coordinates are one; threshold: similarity of a header."""
+    """tol: points within which coordinates are one; threshold: similarity of a header.
+
+    first_seen: of a lattice page's lines the one that comes first in the stream makes the
+    first cluster, with those that chain on from it, as one old pipeline did.
+    """
 
     tol: float = 3.0
     row_tol: float = 1.0
@@ -44,6 +48,7 @@ class Config:
     threshold: float = 0.8
     top_blocks: int = 5
     clean_chars: bool = True
+    first_seen: bool = False
 
 
 def validate_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -1,9 +1,10 @@
-"""Page objects from tables, JSON files, or documents through a decoder."""
+"""Page objects from Parquet or JSON files, or from documents through a decoder."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from pagegrid.schema import CHARS, PAGES, RECTS, SEGMENTS, validate_schema
 
 FRAMES = {"pages": PAGES, "chars": CHARS, "segments": SEGMENTS, "rects": RECTS}
+_ARROW = {"string": pa.string(), "integer": pa.int32(), "long": pa.int64(), "double": pa.float64()}
 #: What a decoder yields: frame name and the object's fields.
 Decoder = Callable[[str, bytes], Iterable[tuple[str, dict]]]
 
@@ -40,26 +42,27 @@ def scan_documents(spark: SparkSession, folder: str) -> DataFrame:
 def decode(documents: DataFrame, decoder: Decoder) -> tuple[dict[str, DataFrame], DataFrame]:
     """Frames of decoded documents, and errors (doc_id, stage, message): a broken document fails no job.
 
-    Objects get their ordinal in the stream as `seq`.
+    Objects get their ordinal in the stream as `seq`. A document that breaks off leaves its
+    error only. Memory follows the largest document.
     """
     fields = {f.name: f.dataType for s in FRAMES.values() for f in s}
     schema = T.StructType([T.StructField("frame", T.StringType()), *(T.StructField(n, t) for n, t in fields.items()), T.StructField("message", T.StringType())])
+    arrow = pa.schema([(f.name, _ARROW[f.dataType.typeName()]) for f in schema])
+
+    def rows_of(doc_id: str, content: bytes) -> list[dict]:
+        try:
+            return [{"frame": frame, "doc_id": doc_id, "seq": seq, **x} for seq, (frame, x) in enumerate(decoder(doc_id, content))]
+        except Exception as e:  # whatever the decoder raises becomes the document's error
+            return [{"frame": "errors", "doc_id": doc_id, "message": str(e)}]
 
     def run(batches):
-        import pandas as pd
-
-        for df in batches:
-            for doc_id, content in zip(df["doc_id"], df["content"]):
-                rows = []
-                try:
-                    for seq, (frame, x) in enumerate(decoder(doc_id, content)):
-                        rows.append({"frame": frame, "doc_id": doc_id, "seq": seq, **x})
-                except Exception as e:  # whatever the decoder raises becomes the document's error
-                    rows = [{"frame": "errors", "doc_id": doc_id, "message": str(e)}]
-                if rows:
-                    yield pd.DataFrame(rows).reindex(columns=schema.names)
-
-    found = documents.mapInPandas(run, schema)
+        for batch in batches:
+            for doc_id, content in zip(*batch.columns):
+                rows = rows_of(doc_id.as_py(), content.as_py())
+                for i in range(0, len(rows), 10_000):
+                    yield pa.RecordBatch.from_pylist(rows[i : i + 10_000], arrow)
+
+    found = documents.select("doc_id", "content").mapInArrow(run, schema)
     frames = {n: validate_schema(found.where(F.col("frame") == n), s) for n, s in FRAMES.items()}
     return frames, found.where("frame = 'errors'").select("doc_id", F.lit("decode").alias("stage"), "message")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,20 +15,20 @@ def _number(v: Column) -> Column:
     return F.when(v == F.floor(v), v.cast("long").cast("string")).otherwise(v.cast("string"))
 
 
-def _box() -> Column:
-    a, b, c, d = (_number(F.col(n)) for n in ("x0", "y0", "x1", "y1"))
+def _box(number: Callable[[Column], Column]) -> Column:
+    a, b, c, d = (number(F.col(n)) for n in ("x0", "y0", "x1", "y1"))
     return F.concat(F.lit("("), a, F.lit(", "), b, F.lit(")-("), c, F.lit(", "), d, F.lit(")"))
 
 
 def page_cell_lines(cells: DataFrame) -> DataFrame:
-    """P, line: `Cell 0: Cell((x0, y0)-(x1, y1)), Text: '...'`."""
-    return cells.select(*P, "cell_no", F.concat(F.lit("Cell "), F.col("cell_no"), F.lit(": Cell("), _box(), F.lit("), Text: '"), F.col("text"), F.lit("'")).alias("line"))
+    """P, cell_no, line: `Cell 0: Cell((51.0, 733.0)-(108.0, 748.0)), Text: '...'`; all numbers with a point."""
+    return cells.select(*P, "cell_no", F.concat(F.lit("Cell "), F.col("cell_no"), F.lit(": Cell("), _box(lambda v: v.cast("double").cast("string")), F.lit("), Text: '"), F.col("text"), F.lit("'")).alias("line"))
 
 
 def document_cell_lines(cells: DataFrame) -> DataFrame:
     """doc_id, ordinal, line: `Pg: 1, Cell 0: Cell(Pg:1, (x0, y0)-(x1, y1)), Text: '...'`; needs document_order."""
     page = F.col("page_number").cast("string")
-    line = F.concat(F.lit("Pg: "), page, F.lit(", Cell "), F.col("ordinal"), F.lit(": Cell(Pg:"), page, F.lit(", "), _box(), F.lit("), Text: '"), F.col("text"), F.lit("'"))
+    line = F.concat(F.lit("Pg: "), page, F.lit(", Cell "), F.col("ordinal"), F.lit(": Cell(Pg:"), page, F.lit(", "), _box(_number), F.lit("), Text: '"), F.col("text"), F.lit("'"))
     return cells.select("doc_id", "ordinal", line.alias("line"))
 
 

@@ -117,3 +117,214 @@ def test_config_offers_no_setting_that_nothing_reads():
 
     code = "".join(p.read_text() for p in (Path(__file__).parent.parent / "pagegrid").rglob("*.py"))
     assert [f.name for f in dataclasses.fields(Config) if f"config.{f.name}" not in code] == []
+
+
+def small_pages(rng):
+    """Random cells of a page, some of them slivers, on a grid that is not quite even."""
+    xs = sorted({round(rng.uniform(0, 60), rng.choice([0, 1])) for _ in range(6)})
+    ys = sorted({round(rng.uniform(0, 50), rng.choice([0, 1])) for _ in range(5)})
+    return [(i, a, c, b, d, rng.choice(["", "t", "u v"])) for i, ((a, b), (c, d)) in enumerate((x, y) for x in zip(xs, xs[1:]) for y in zip(ys, ys[1:])) if rng.random() < 0.9]
+
+
+class Box:
+    def __init__(self, no, x0, y0, x1, y1, text):
+        self.no, self.x0, self.y0, self.x1, self.y1, self.text = no, x0, y0, x1, y1, text
+        self.near = dict.fromkeys(["left", "right", "top", "bottom"])
+
+
+def brute_merge(cells, tol=3.0):
+    """Round after round: link all cells, the later link wins; then each small cell goes where most of its side is."""
+    cells = [Box(*c) for c in cells]
+    edge = lambda v: round(v / tol) * tol
+    plan = [("left", "right", "x0", "x1", "y"), ("right", "left", "x1", "x0", "y"), ("top", "bottom", "y0", "y1", "x"), ("bottom", "top", "y1", "y0", "x")]
+    rounds = 0
+    while True:
+        rounds += 1
+        for c in cells:
+            for side, back, mine, theirs, axis in plan:
+                for n in cells:
+                    if edge(getattr(n, theirs)) == edge(getattr(c, mine)) and all(abs(getattr(c, f"{axis}{i}") - getattr(n, f"{axis}{i}")) < tol for i in "01"):
+                        c.near[side], n.near[back] = n, c
+        merged = False
+        for c in [c for c in cells if c.x1 - c.x0 < tol or c.y1 - c.y0 < tol]:
+            around = [n for n in c.near.values() if n]
+            best, most = None, 0
+            for n in around:
+                tall, wide = max(0, min(c.y1, n.y1) - max(c.y0, n.y0)), max(0, min(c.x1, n.x1) - max(c.x0, n.x0))
+                side = next((s for p, q, s in ((c.x1, n.x0, tall), (c.x0, n.x1, tall), (c.y1, n.y0, wide), (c.y0, n.y1, wide)) if abs(p - q) < 1e-6), 0)
+                if side > most:
+                    best, most = n, side
+            if best:
+                best.x0, best.y0, best.x1, best.y1 = min(best.x0, c.x0), min(best.y0, c.y0), max(best.x1, c.x1), max(best.y1, c.y1)
+                best.text = " ".join(t for t in (best.text, c.text) if t)
+                cells.remove(c)
+                for n in around:
+                    n.near = {s: None if m is c else m for s, m in n.near.items()}
+                merged = True
+        if not merged:
+            return [(c.x0, c.y0, c.x1, c.y1, c.text) for c in cells], rounds
+
+
+def test_small_cells_merge_as_in_brute_force(spark):
+    rng = random.Random(12)
+    pages = [small_pages(rng) for _ in range(80)]
+    df = spark.createDataFrame([("d", p, *map(lambda v: float(v) if isinstance(v, (int, float)) and v is not c[0] else v, c)) for p, cells in enumerate(pages) for c in cells], f"{KEY}, cell_no int, x0 double, y0 double, x1 double, y1 double, text string")
+    got = {}
+    for r in merge_small_cells(df).orderBy("page_number", "cell_no").collect():
+        got.setdefault(r.page_number, []).append((r.x0, r.y0, r.x1, r.y1, r.text))
+    most = 0
+    for p, cells in enumerate(pages):
+        want, rounds = brute_merge(cells)
+        most = max(most, rounds)
+        assert got.get(p, []) == want, p
+    assert most >= 3  # a second round merged something
+
+
+def test_chars_meet_cells_as_in_brute_force(spark):
+    rng = random.Random(13)
+    box = lambda flip: (a := rng.uniform(-30, 90), b := rng.uniform(-30, 90), a + rng.uniform(0, 40), b + rng.uniform(0, 60) * (-1 if rng.random() < flip else 1))
+    boxes = [box(0.1) for _ in range(40)] + [(0.0, -1e12, 90.0, 1e12)]
+    chars = [(i, chr(97 + i % 26), a, b, a + 2, b + rng.uniform(0, 30) * rng.choice([1, 1, 1, -1])) for i in range(150) for a, b, *_ in [box(0)]]
+    found = C.cell_text(spark.createDataFrame([("d", 1, *b) for b in boxes], f"{KEY}, x0 double, y0 double, x1 double, y1 double"), spark.createDataFrame([("d", 1, *c) for c in chars] + [("d", 1, 999, "?", None, None, 1.0, 1.0)], f"{KEY}, seq long, text string, x0 double, y0 double, x1 double, y1 double"))
+    got = {tuple(r)[2:6]: r.text for r in found.collect()}
+    for b in boxes:
+        assert got[b] == "".join(t for _, t, x0, y0, x1, y1 in chars if x0 >= b[0] - 3 and x1 <= b[2] + 3 and y0 >= b[1] - 3 and y1 <= b[3] + 3), b
+
+
+def test_boxes_from_nearest_sides_are_brute_force(spark):
+    rng = random.Random(14)
+    points = {(p, rng.randrange(6) * 7, rng.randrange(6) * 9) for p in range(30) for _ in range(rng.randrange(30))}
+    df = spark.createDataFrame([("d", p, float(x), float(y)) for p, x, y in points], f"{KEY}, x double, y double")
+    got = {(r.page_number, *map(int, r[2:])) for r in C.cell_boxes(df).collect()}
+    want = set()
+    for p in range(30):
+        at = {(x, y) for q, x, y in points if q == p}
+        rects = {(a, b, c, d) for a, b in at for c, d in at if a < c and b < d and (a, d) in at and (c, b) in at}
+        want |= {(p, *r) for r in rects if not any(r != s and s[0] >= r[0] and s[1] >= r[1] and s[2] <= r[2] and s[3] <= r[3] for s in rects)}
+    assert got == want and len(want) > 50
+
+
+def test_clean_coords_page_by_page(spark):
+    rng = random.Random(15)
+    rows = [(f"d{p % 3}", p, i, rng.choice("ab"), *(round(rng.uniform(-4, 60), 1) for _ in range(4))) for p in range(40) for i in range(rng.randrange(1, 60))]
+    rows += [r[:2] + (r[2] + 500,) + r[3:] for r in rows[::3]]
+    sizes = [(f"d{p % 3}", p, 50.0 + p % 2, 40.5) for p in range(39)]
+    df = spark.createDataFrame(rows, f"{KEY}, seq long, text string, x0 double, y0 double, x1 double, y1 double")
+    got = {tuple(r) for r in C.clean_coords(df, spark.createDataFrame(sizes, f"{KEY}, width double, height double"), ["text", "x0", "y0", "x1", "y1"]).collect()}
+    want = {}
+    for doc, p, width, height in sizes:
+        mine = {}
+        for r in rows:
+            if r[:2] == (doc, p):
+                mine[r[3:]] = min(mine.get(r[3:], 10**9), r[2])
+        mine = [[seq, *k] for k, seq in mine.items()]
+        for i in (2, 4):
+            at = [tuple(r[i : i + 2]) for r in mine]
+            label = list(range(len(at)))
+            for _ in at:
+                for a in range(len(at)):
+                    for b in range(a):
+                        if (at[a][0] - at[b][0]) ** 2 + (at[a][1] - at[b][1]) ** 2 <= 9:
+                            label[a] = label[b] = min(label[a], label[b])
+            for a, r in enumerate(mine):
+                group = [at[b] for b in range(len(at)) if label[b] == label[a]]
+                for j, size in ((0, width), (1, height)):
+                    v = sum(g[j] for g in group) / len(group)
+                    r[i + j] = v if v < 0 else min(float(int(v + 1e-9)), float(int(size) - 1))
+        for seq, *k in mine:
+            key = (doc, p, k[0], *(round(v, 6) for v in k[1:]))
+            want[key] = min(want.get(key, 10**9), seq)
+    assert {(*(g[:3]), *(round(v, 6) for v in g[3:7]), g[7]) for g in got} == {(*k, s) for k, s in want.items()}
+
+
+def test_first_seen_line_seeds_the_first_cluster(spark):
+    from pagegrid.operators import lattice as L
+    from pagegrid.schema import Config
+
+    ys = [30.0, 10.0, 12.0, 33.0]
+    segments = spark.createDataFrame([("d", 1, "line", i, 0.0, y, 50.0, y) for i, y in enumerate(ys)], f"{KEY}, kind string, seq long, x0 double, y0 double, x1 double, y1 double")
+    rects = segments.drop("kind").limit(0)
+    lines = L.all_lines(segments, rects)
+    heights = lambda config: sorted(r.y0 for r in L.finalise_lines(lines, config).collect())
+    assert heights(Config()) == [11.0, 31.5] and heights(Config(first_seen=True)) == [11.0, 30.0, 33.0]
+
+
+def test_files_are_scanned_and_a_broken_one_is_an_error(spark, tmp_path):
+    from pagegrid.plans.document import Documents
+    from pagegrid.sources.page_objects import decode, page_subset, scan_documents
+
+    for name, content in (("a.pdf", b"1 2"), ("b.PDF", b"broken"), ("c.txt", b"1"), ("d.Pdf", b"1")):
+        (tmp_path / name).write_bytes(content)
+
+    def decoder(doc_id, content):
+        for page in content.split():
+            n = {"page_number": int(page)}
+            yield "pages", n | {"width": 100.0, "height": 100.0}
+            for kind, at in (("line", (0, 0, 50, 0)), ("edge", (0, 20, 50, 20)), ("line", (0, 0, 0, 20)), ("edge", (50, 0, 50, 20))):
+                yield "segments", n | {"kind": kind} | dict(zip(("x0", "y0", "x1", "y1"), map(float, at)))
+            for i, c in enumerate("Date"):
+                yield "chars", n | {"text": c, "x0": 5.0 * i + 5, "y0": 5.0, "x1": 5.0 * i + 10, "y1": 15.0}
+            yield "chars", n | {"text": "?", "x0": None, "y0": 1.0, "x1": 2.0, "y1": 3.0}
+            yield "rects", n | {"x0": 0.0, "y0": 0.0, "x1": float("nan"), "y1": 20.0}
+
+    files = scan_documents(spark, f"file://{tmp_path}")
+    assert sorted(r.doc_id for r in files.collect()) == ["a.pdf", "b.PDF", "d.Pdf"]
+    frames, errors = decode(files, decoder)
+    assert [(r.doc_id, r.stage) for r in errors.collect()] == [("b.PDF", "decode")] and frames["pages"].count() == 3
+    assert page_subset(frames, first=1)["pages"].count() == 2 == page_subset(frames, [0])["pages"].count()
+    found = Documents(frames)
+    assert sorted((r.doc_id, r.page_number, r.text) for r in found.cells.collect()) == [("a.pdf", 1, "Date"), ("a.pdf", 2, "Date"), ("d.Pdf", 1, "Date")]
+    assert sorted((r.doc_id, r.num_cells) for r in found.table_structure.collect()) == [("a.pdf", 1), ("d.Pdf", 1)]
+    assert sorted((r.doc_id, r.stage, r.message) for r in found.errors().collect()) == [(d, s, f"{n} objects without coordinates") for d, n in (("a.pdf", 2), ("d.Pdf", 1)) for s in ("chars", "rects")]
+
+
+def test_page_files_and_streams(spark, tmp_path):
+    from pagegrid.sources.page_objects import read_frames
+    from pagegrid.streaming.incremental import PACKED, follow
+
+    rows = {"pages": [("d", 1, 100.0, 100.0)], "chars": [], "segments": [("d", 1, "edge", *map(float, s)) for s in ((0, 0, 50, 0), (0, 20, 50, 20), (0, 0, 0, 20), (50, 0, 50, 20))], "rects": []}
+    columns = {"pages": "width double, height double", "chars": "text string, x0 double, y0 double, x1 double, y1 double", "segments": "kind string, x0 double, y0 double, x1 double, y1 double", "rects": "x0 double, y0 double, x1 double, y1 double"}
+    for fmt in ("parquet", "json"):
+        for name, found in rows.items():
+            spark.createDataFrame(found, f"{KEY}, {columns[name]}").write.format(fmt).save(f"file://{tmp_path}/{fmt}/{name}")
+        assert {n: d.count() for n, d in read_frames(spark, f"file://{tmp_path}/{fmt}", fmt).items()} == {n: len(r) for n, r in rows.items()}
+
+    def packed(doc_id):
+        segments = [(1, "edge", *map(float, s), None, None) for s in ((0, 0, 50, 0), (0, 20, 50, 20), (0, 0, 0, 20), (50, 0, 50, 20))]
+        return spark.createDataFrame([(doc_id, [(1, 100.0, 100.0)], [], segments, [])], PACKED_NULLABLE)
+
+    from pyspark.sql import types as T
+
+    PACKED_NULLABLE = T.StructType([T.StructField(f.name, f.dataType) for f in PACKED])
+    source, seen = f"file://{tmp_path}/in", []
+    for doc_id in ("a", "b"):
+        packed(doc_id).write.mode("append").parquet(source)
+        follow(spark, source, f"file://{tmp_path}/checkpoint", lambda documents, n: seen.append((n, sorted(r.doc_id for r in documents.cells.collect())))).awaitTermination()
+    assert seen == [(0, ["a"]), (1, ["b"])]
+
+
+def test_a_model_is_loaded_once_a_worker(spark, tmp_path):
+    import sys
+
+    from pagegrid.operators.headers import TransformerEmbedder, known_vectors
+
+    (tmp_path / "sentence_transformers.py").write_text(
+        f"import numpy, os\n"
+        f"class SentenceTransformer:\n"
+        f"    def __init__(self, name):\n"
+        f"        open({str(tmp_path)!r} + '/load-' + str(os.getpid()), 'a').write('x')\n"
+        f"    def encode(self, texts, normalize_embeddings):\n"
+        f"        v = numpy.array([[len(t), 1.0 + t.count('a')] for t in texts])\n"
+        f"        return v / numpy.linalg.norm(v, axis=1, keepdims=True)\n"
+    )
+    spark.sparkContext.addPyFile(str(tmp_path / "sentence_transformers.py"))
+    embedder = TransformerEmbedder("some")
+    texts = spark.createDataFrame([(f"text {i}",) for i in range(40)] + [("",), ("text 1",)], "text string").repartition(8)
+    for _ in range(3):
+        found = embedder.embed(texts).collect()
+    assert len(found) == 80 and all(sum(r.weight**2 for r in found if r.text == t) == pytest.approx(1) for t in ("text 1", "text 39"))
+    vectors = known_vectors(spark, "table", embedder)
+    assert vectors.count() == 2 * 141 or vectors.count() > 250
+    loads = [p.read_text() for p in tmp_path.glob("load-*")]
+    assert loads and all(x == "x" for x in loads)
+    sys.modules.pop("sentence_transformers", None)
