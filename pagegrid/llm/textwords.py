@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 18
 _B = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2**64
 _Q = 0xD1B54A32D192ED03
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
