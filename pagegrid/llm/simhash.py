@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagegrid.llm.textwords import SPACED, Words, blocks, words
+from pagegrid.llm.textwords import SPACED, blocks, words
 from pagegrid.operators.graph import connected_components
 from pagegrid.runtime import scratch_table
 
@@ -60,20 +60,6 @@ def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42
     return out
 
 
-def _packed(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words with one space between neighbours: bytes, starts, ends."""
-    ends = np.cumsum(w.ends - w.starts + 1) - 1
-    starts = ends - (w.ends - w.starts)
-    out = np.full(int(ends[-1]) + 1, 32, np.uint8)
-    keep = np.ones(len(out), bool)
-    keep[ends] = False
-    inside = np.zeros(len(w.data) + 1, np.int8)
-    inside[w.starts] += 1
-    inside[w.ends] -= 1
-    out[keep] = w.data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
-    return out, starts, ends
-
-
 def _majority(h: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """For each run of count hashes from begin on, the bits set in over half of them."""
     out = np.zeros(len(begin), np.uint64)
@@ -104,7 +90,7 @@ def fingerprints(column: pa.Array, shingle: int = 3, seed: int = 42) -> np.ndarr
         if not len(w.starts):
             out.append(np.zeros(len(block), np.uint64))
             continue
-        data, starts, ends = _packed(w)
+        data, starts, ends = w.packed()
         n = np.diff(w.of)
         count = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
         begin = np.cumsum(count) - count

@@ -118,6 +118,19 @@ class Words:
         sums = before(hashes * p[:n])
         return mix((sums[size:] - sums[: n - size + 1]) * q[: n - size + 1] + np.uint64(size))
 
+    def packed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words with one space between neighbours: bytes, starts, ends. There must be a word."""
+        ends = np.cumsum(self.ends - self.starts + 1) - 1
+        starts = ends - (self.ends - self.starts)
+        out = np.full(int(ends[-1]) + 1, 32, np.uint8)
+        keep = np.ones(len(out), bool)
+        keep[ends] = False
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        inside[self.starts] += 1
+        inside[self.ends] -= 1
+        out[keep] = self.data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+        return out, starts, ends
+
     def room(self) -> np.ndarray:
         """For each word, how many words its text has from there on."""
         return np.repeat(self.of[1:], np.diff(self.of)) - np.arange(len(self.starts))

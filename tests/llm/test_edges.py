@@ -83,6 +83,33 @@ def test_passages(spark, texts):
     assert got == {(5, 0, 60_000): 1, (6, 0, 70): 1, (7, 0, 71): 1}
 
 
+@pytest.mark.parametrize(("bits", "partitions"), [(8, 4), (3, 60), (1, 7)])
+def test_passages_with_clashing_hashes_and_over_many_tasks(spark, bits, partitions):
+    """Hashes of a few bits only: all kinds of unequal words meet, and the words decide. A hot passage goes through many tasks."""
+    rng = random.Random(9)
+    common = [spoken(rng, 30, 3000) for _ in range(3)]
+    rows = [" ".join(x for _ in range(3) for x in (spoken(rng, rng.randrange(25), 3000), rng.choice(common))) for _ in range(60)] + ["a b", None, "x " * 40]
+    found = Counter()
+    w = [(t or "").split() for t in rows]
+    found.update(tuple(x[i : i + 20]) for x in w for i in range(len(x) - 19))
+    want = set()
+    for d, x in enumerate(w):
+        spans = []
+        for i in range(len(x) - 19):
+            if found[tuple(x[i : i + 20])] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + 20
+                else:
+                    spans.append([i, i + 20])
+        want |= {(d, a, b) for a, b in spans}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = repeated_passages(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3), min_words=20, spread=6, hash_bits=bits)
+        assert {tuple(r)[:3] for r in got.collect()} == want and len(want) > 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
 def test_pieces(spark, texts):
     path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
     got = pack(table(spark, texts), path).collect()
