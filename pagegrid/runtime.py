@@ -13,14 +13,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _scratch: dict[str, SparkSession] = {}
+BATCH_SIZE, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def attach_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did.
+    """Let Python workers import this package from where the driver did, and get rows in small batches.
 
     On a cluster the package is installed or shipped with --py-files; a path that
-    does not exist there is ignored.
+    does not exist there is ignored. Batches of Spark's default size hold 64 MB, several
+    times over on both sides of the pipe; any other size that the session has set stays.
     """
+    if spark.conf.get(BATCH_SIZE, None) == "67108864b":
+        spark.conf.set(BATCH_SIZE, BATCH_BYTES)
     root = str(Path(__file__).resolve().parent.parent)
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
