@@ -140,8 +140,8 @@ def empty_rectangles(rects: DataFrame, points: DataFrame, keys: list[str] = P) -
     return r.join(p, [*(F.col(f"r.{k}") == F.col(f"p.{k}") for k in keys), inside], "left_anti")
 
 
-def _levels(box: np.ndarray) -> np.ndarray:
-    """Levels of one page's distinct rectangles (x1, y1, x2, y2)."""
+def _levels_by_pairs(box: np.ndarray) -> np.ndarray:
+    """Each rectangle against all smaller ones."""
     level = np.zeros(len(box), np.int32)
     order = np.argsort((box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1]), kind="stable")
     x1, y1, x2, y2 = np.ascontiguousarray(box[order].T)
@@ -153,6 +153,41 @@ def _levels(box: np.ndarray) -> np.ndarray:
     return level
 
 
+def _levels_by_grid(at: np.ndarray, wide: int, high: int) -> np.ndarray:
+    """at: places of each rectangle's sides among the page's coordinates (x1, y1, x2, y2).
+
+    `most[h]` has the longest chain inside each stretch of w by h steps: that of the four
+    stretches one step shorter, and one more where a rectangle fills it.
+    """
+    level = np.zeros(len(at), np.int32)
+    w, h = at[:, 2] - at[:, 0], at[:, 3] - at[:, 1]
+    order = np.lexsort((h, w))
+    cuts = np.searchsorted((w * (high + 1) + h)[order], np.arange((wide + 1) * (high + 1) + 1))
+    most = [np.zeros((wide, high - k), np.int32) for k in range(high)]
+    for i in range(1, wide):
+        row = [np.zeros((wide - i, high), np.int32)]
+        for k in range(1, high):
+            best = np.maximum(np.maximum(most[k][:-1], most[k][1:]), np.maximum(row[-1][:, :-1], row[-1][:, 1:]))
+            here = order[cuts[i * (high + 1) + k] : cuts[i * (high + 1) + k + 1]]
+            if len(here):
+                x, y = at[here, 0], at[here, 1]
+                level[here] = best[x, y]
+                best[x, y] += 1
+            row.append(best)
+        most = row
+    return level
+
+
+def _levels(box: np.ndarray) -> np.ndarray:
+    """Levels of one page's distinct rectangles (x1, y1, x2, y2): over their pairs, or over all stretches of a grid if these are fewer."""
+    xs, x = np.unique(box[:, [0, 2]], return_inverse=True)
+    ys, y = np.unique(box[:, [1, 3]], return_inverse=True)
+    if (len(xs) * len(ys)) ** 2 // 4 > len(box) ** 2 // 2:
+        return _levels_by_pairs(box)
+    x, y = x.reshape(-1, 2), y.reshape(-1, 2)
+    return _levels_by_grid(np.stack([x[:, 0], y[:, 0], x[:, 1], y[:, 1]], 1), len(xs), len(ys))
+
+
 def levels(rects: DataFrame) -> DataFrame:
     """All rectangles with their level: 0 if they contain none, else one more than the highest contained.
 

@@ -185,7 +185,7 @@ def shared_boundary(spark, sf_dir):
 )
 def rect_to_lines(spark, sf_dir):
     frames = R.render(spark, sf_dir)
-    return _ints(L.all_lines(frames["segments"].limit(0), frames["rects"]).select(*P, *BOX))
+    return _ints(L.all_lines(frames["segments"], frames["rects"]).select(*P, *BOX))
 
 
 # Ruled pages.
@@ -220,10 +220,9 @@ SPANS = """
 """
 
 
-@query(DRAWN + SPANS + "SELECT doc_id, page_number, count(*) AS n, CAST(sum(area) AS BIGINT) AS area FROM spans GROUP BY ALL")
+@query(DRAWN + SPANS + "SELECT doc_id, page_number, x1, y1, x2, y2 FROM spans")
 def rectangles(spark, sf_dir):
-    found = C.rectangles(C.intersections(_segments(spark, sf_dir)))
-    return found.groupBy(*P).agg(F.count("*").alias("n"), F.sum((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).cast("long").alias("area"))
+    return _ints(C.rectangles(C.intersections(_segments(spark, sf_dir))), "x1", "y1", "x2", "y2")
 
 
 @query(DRAWN + "SELECT doc_id, page_number, x0 AS x1, y0 AS y1, x1 AS x2, y1 AS y2 FROM boxes")
@@ -237,10 +236,9 @@ def empty_rectangles(spark, sf_dir):
     return _ints(C.empty_rectangles(C.rectangles(points), points), "x1", "y1", "x2", "y2")
 
 
-@query(DRAWN + SPANS + "SELECT doc_id, page_number, CAST(w + h - 2 AS INTEGER) AS level, count(*) AS n FROM spans GROUP BY ALL")
+@query(DRAWN + SPANS + "SELECT doc_id, page_number, x1, y1, x2, y2, CAST(w + h - 2 AS INTEGER) AS level FROM spans")
 def rectangle_levels(spark, sf_dir):
-    found = C.levels(C.rectangles(C.intersections(_segments(spark, sf_dir))))
-    return found.groupBy(*P, "level").agg(F.count("*").alias("n"))
+    return _ints(C.levels(C.rectangles(C.intersections(_segments(spark, sf_dir)))), "x1", "y1", "x2", "y2")
 
 
 @query(DRAWN + "SELECT doc_id, page_number, x0, y0, x1, y1 FROM boxes")

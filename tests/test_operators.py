@@ -328,3 +328,46 @@ def test_a_model_is_loaded_once_a_worker(spark, tmp_path):
     loads = [p.read_text() for p in tmp_path.glob("load-*")]
     assert loads and all(x == "x" for x in loads)
     sys.modules.pop("sentence_transformers", None)
+
+
+def test_levels_of_pages_with_and_without_a_grid():
+    import numpy as np
+
+    rng = random.Random(16)
+    for size, n in ((4, 12), (7, 30), (200, 60), (6, 3)):
+        for _ in range(12):
+            corners = {(rng.randrange(size), rng.randrange(size), rng.randrange(size), rng.randrange(size)) for _ in range(n)}
+            box = np.array([c for c in sorted(corners) if c[0] < c[2] and c[1] < c[3]] or [(0, 0, 1, 1)], float)
+            want = {}
+            for r in sorted(map(tuple, box), key=lambda r: (r[2] - r[0]) * (r[3] - r[1])):
+                want[r] = 1 + max((v for s, v in want.items() if s[0] >= r[0] and s[1] >= r[1] and s[2] <= r[2] and s[3] <= r[3]), default=-1)
+            xs, ys = np.unique(box[:, [0, 2]]), np.unique(box[:, [1, 3]])
+            at = np.stack([np.searchsorted(v, box[:, i]) for i, v in enumerate((xs, ys, xs, ys))], 1)
+            for got in (C._levels(box), C._levels_by_pairs(box), C._levels_by_grid(at, len(xs), len(ys))):
+                assert dict(zip(map(tuple, box), got.tolist())) == want
+
+
+def test_pages_through_the_pdf_library(spark, tmp_path):
+    """A library of the same shape stands for the real one, which is not installed here."""
+    from pagegrid.sources.page_objects import decode, pdf_decoder
+
+    (tmp_path / "pdfplumber.py").write_text(
+        "import contextlib\n"
+        "from types import SimpleNamespace as N\n"
+        "@contextlib.contextmanager\n"
+        "def open(file):\n"
+        "    names = file.read().decode().split()\n"
+        "    if not names:\n"
+        "        raise ValueError('no pages')\n"
+        "    box = dict(x0=1, y0=2, x1=3, y1=4)\n"
+        "    char = box | dict(text='c', size=9, width=2, height=2, fontname='f')\n"
+        "    yield N(pages=[N(page_number=i + 1, width=100, height=50, chars=[char] * len(n), lines=[box], edges=[box, dict(x0=1, x1=2)], rects=[box]) for i, n in enumerate(names)])\n"
+    )
+    spark.sparkContext.addPyFile(str(tmp_path / "pdfplumber.py"))
+    files = spark.createDataFrame([("a", b"xx y"), ("b", b"")], "doc_id string, content binary")
+    frames, errors = decode(files, pdf_decoder)
+    assert {n: d.count() for n, d in frames.items()} == {"pages": 2, "chars": 3, "segments": 6, "rects": 2}
+    assert {(r.kind, r.y0) for r in frames["segments"].collect()} == {("line", 2.0), ("edge", 2.0), ("edge", None)}
+    assert [(r.doc_id, r.message) for r in errors.collect()] == [("b", "no pages")]
+    first = frames["chars"].orderBy("page_number", "seq").first()
+    assert (first.doc_id, first.page_number, first.text, first.size, first.x1) == ("a", 1, "c", 9.0, 3.0)
