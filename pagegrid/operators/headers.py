@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagegrid.functions.geometry import strip
 from pagegrid.operators import words as W
+from pagegrid.runtime import scratch_table
 from pagegrid.schema import BOX, P, Config
 
 # The column titles that a header's texts are compared with, in alphabetical order.
@@ -170,7 +171,7 @@ def header_blocks(chars: DataFrame, segments: DataFrame, config: Config = Config
     of = W.bands(segments, config.edge_tol)
     found = W.words(W.band_chars(chars, of), config.char_tol)
     found = W.phrases(W.logical_cells(found, config.x_gap, config.y_proximity), config.phrase_tol)
-    found = found.withColumn("text", strip(F.col("text")))
+    found = scratch_table(found.withColumn("text", strip(F.col("text"))), "phrases")  # scored by distinct text, and read again
     known = known_vectors(chars.sparkSession, "block", embedder)
     scored = found.join(best_similarity(found.where("text <> ''"), known, embedder), "text", "left")
     phrase = F.struct("ordinal", F.struct("text", *BOX).alias("p"))
