@@ -354,3 +354,68 @@ def test_queries_leave_only_their_result(spark, tmp_path):
     before = runtime.scratch_mark()
     got = QUERIES["op1_exact_dedup"](spark, f"file://{tmp_path}")
     assert len(runtime.scratch_mark() - before) == 1 and got.where(F.col("kept")).count() == 1
+
+
+def test_pipeline_against_plain_loops(spark, tmp_path):
+    """Each stage is done again by loops on what is left, but for the language's model, which is the pipeline's own."""
+    import corpus_pipeline
+    from pagegrid.llm.packing import WordBpe
+
+    vocabulary = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    rng = random.Random(21)
+    rows = [(i, t, lang) for i, t, lang in labelled(rng, 90)]
+    base = [rng.choice("abcde") * 2 + "".join(rng.choice("abcde") for _ in range(5)) for _ in range(150)]
+    for i in range(100, 130):
+        w = list(base)
+        for _ in range(rng.randrange(8)):
+            w[rng.randrange(150)] = "".join(rng.choice("abcde") for _ in range(7))
+        rows.append((i, " ".join(w), "bb"))
+    rows += [(200 + i, rows[i][1].replace(" ", " \n"), "aa") for i in range(0, 20, 3)] + [(300, None, "aa"), (301, "", None), (302, "?! 12", "aa"), (303, rows[40][1] + " " + rows[7][1], "aa"), (303, rows[40][1] + " " + rows[7][1], "aa"), (None, rows[2][1], "aa"), (None, "abcab bcabc cabca", "bb")]
+    items = [(0, " ".join(rows[7][1].split()[:12])), (1, None), (2, "vwxyz zzz none of these words")]
+    at = f"file://{tmp_path}"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs)).collect()
+    good = Counter(r.doc_id for r in found if r.lang_pred != "und" and r.score >= 0.5)
+    assert not {300, 301, 302} & set(good)
+    left = [r for r in rows if r[0] in good]
+    order = lambda i: (i is None, i)
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t)
+    least = {}
+    for i, t, _ in left:
+        least[norm(t)] = min(least.get(norm(t), i), i, key=order)
+    left = [r for r in left if least[norm(r[1])] == r[0]]
+
+    def grams(t, k=5):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
+        return {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))}
+
+    sets = [grams(t) for _, t, _ in left]
+    label = list(range(len(left)))
+    linked = [(a, b) for a in label for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    for _ in label:
+        for a, b in linked:
+            label[a] = label[b] = min(label[a], label[b])
+    first = {}
+    for a, r in zip(label, left):
+        first[a] = min(first.get(a, r[0]), r[0], key=order)
+    left = [r for a, r in zip(label, left) if first[a] == r[0]]
+    held = lambda t, item: (own := grams(item, min(5, len(item.split())))) and len(own & grams(t, min(5, len(item.split())))) >= 0.8 * len(own)
+    left = [r for r in left if not any(held(r[1], item) for _, item in items if item)]
+    assert len(linked) > 20 and 40 < len(left) < len(rows) - 30 and 7 not in {r[0] for r in left}
+
+    library = WordBpe(vocabulary).library
+    ids = {r[0]: [*library.encode(r[1], add_special_tokens=False).ids, 2] for r in left}
+    got = corpus_pipeline.run(spark, at).collect()
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in got:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes()) and r.doc_tokens == len(ids[r.doc_id])
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert set(pieces) == set(ids)
+    times = Counter(r[0] for r in left)
+    assert all(sum(n for _, n in pieces[i]) == times[i] * len(ids[i]) for i in ids)
+    assert all(sum(n for _, n in s) <= 4096 and sorted(o for o, _ in s)[0] == 0 for s in sequences.values())
