@@ -30,6 +30,8 @@ ARCHIVES, INDEXES = "archive/", "indexes/"
 RECORDS, INDEX = ARCHIVES + "data.warc.gz", INDEXES + "index.jsonl"
 #: Payloads of about this size are handed on together, and archives without an index are read by pieces of it.
 PIECE = 4 << 20
+#: Numbers by which pages whose payload comes again are told from the rest before any is shuffled.
+MARKS = 1 << 20
 #: A package ends after a record that takes it past this size.
 PACKAGE_BYTES = 256 << 20
 DATE = "2000-01-01T00:00:00Z"  # records are the same in each run
@@ -206,9 +208,17 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     folder = qualified(pages.sparkSession, folder)
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("string").alias("key"), F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumns({"sha": F.sha2("payload", 256), "short": F.sha1("payload")})
-    first = scratch_table(rows.groupBy("sha", "short").agg(F.min("id").cast("string").alias("first")), "payloads")
-    joined = rows.join(first.hint("merge"), ["sha", "short"])
+    rows = rows.withColumn("sha", F.unhex(F.concat(F.sha2("payload", 256), F.sha1("payload"))))
+    seen = rows.groupBy("sha").agg(F.min("id").cast("string").alias("first"), F.count("*").alias("times"))
+    seen = scratch_table(seen.where("times > 1").select("sha", "first"), "payloads")
+    # Only pages whose payload may have come again are shuffled: those whose hash falls in
+    # one of at most MARKS numbers, so what is broadcast has a bound at any size.
+    mark = F.pmod(F.xxhash64("sha"), F.lit(MARKS)).alias("mark")
+    marks = F.broadcast(seen.select(mark).distinct())
+    rows = rows.withColumn("mark", F.pmod(F.xxhash64("sha"), F.lit(MARKS)))
+    alone = rows.join(marks, "mark", "left_anti").withColumn("first", F.lit(None).cast("string"))
+    shared = rows.join(marks, "mark", "left_semi").join(seen.hint("merge"), "sha", "left")
+    joined = alone.unionByName(shared)
     again = (F.octet_length("payload") >= least) & (F.col("key") != F.col("first"))
     joined = joined.select("key", "url", "payload", F.when(again, F.col("first")).alias("refers_to"))
 
