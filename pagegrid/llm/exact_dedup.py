@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from pagegrid.runtime import scratch_table
 
+#: Numbers by which rows that may have copies are told from the rest before any is shuffled.
+MARKS = 1 << 20
 #: What counts as white space: one space stands for each run of these.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -22,6 +24,18 @@ def content_hash(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def split_by_marks(rows: DataFrame, key: Column | str, among: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows whose key is surely not among those of a frame of one column, and the rest, without a shuffle.
+
+    Keys are told apart by one of MARKS numbers, so what is broadcast has a bound at any
+    size; with very many keys all rows are in the rest.
+    """
+    mark = lambda k: F.pmod(F.xxhash64(k), F.lit(MARKS))
+    marks = F.broadcast(among.select(mark(F.col(among.columns[0])).alias("__mark")).distinct())
+    same = mark(F.col(key) if isinstance(key, str) else key) == marks["__mark"]
+    return rows.join(marks, same, "left_anti"), rows.join(marks, same, "left_semi")
+
+
 def _classes(rows: DataFrame) -> DataFrame:
     """(h, text, keep_id, group_size): one row for each text that differs in any byte.
 
@@ -43,8 +57,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).alias("id"), normalise(F.col(text_col)).alias("text"))
     rows = rows.withColumn("h", hash_fn(F.col("text")))
+    ids = scratch_table(rows.select("id", "h", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")), "hashed")
+    twice = scratch_table(ids.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated")
+    alone, _ = split_by_marks(ids, "h", twice)
+    alone = alone.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256")
+    _, ids = split_by_marks(ids, "h", twice)
+    _, rows = split_by_marks(rows, "h", twice)
     by_hash = scratch_table(_classes(rows), "classes")
-    ids = rows.select("id", "h", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
     out = ids.join(by_hash.where("texts = 1").hint("merge"), "h")
     clashing = by_hash.where("texts > 1").select("h")
     if not clashing.isEmpty():  # then the bytes decide, for these hashes only
@@ -52,7 +71,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         texts = scratch_table(bad.groupBy("h", "text").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")), "texts")
         more = bad.join(texts.hint("merge"), ["h", "text"]).withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
         out = out.select("id", "keep_id", "group_size", "text_sha256").unionByName(more.select("id", "keep_id", "group_size", "text_sha256"))
-    return out.select(
+    return out.select("id", "keep_id", "group_size", "text_sha256").unionByName(alone).select(
         F.col("id").alias(id_col),
         "keep_id",
         F.col("group_size").cast("long").alias("group_size"),
@@ -67,6 +86,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A repeated row that stays does so once for each time. A null text is an empty one; a
     null id is the largest. An empty table gives an empty one.
     """
-    stay = scratch_table(exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("id"), "text_sha256").distinct(), "stay")
-    same = docs[id_col].eqNullSafe(stay["id"]) & (F.sha2(normalise(docs[text_col]).cast("binary"), 256) == stay["text_sha256"])
-    return docs.join(stay.hint("merge"), same, "left_semi")
+    gone = exact_dedup(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("id"), "text_sha256").distinct()
+    gone = scratch_table(gone, "gone")
+    sha = F.sha2(normalise(docs[text_col]).cast("binary"), 256)
+    alone, shared = split_by_marks(docs, sha, gone.select("text_sha256"))
+    return alone.unionAll(shared.join(gone.hint("merge"), shared[id_col].eqNullSafe(gone["id"]) & (sha == gone["text_sha256"]), "left_anti"))
