@@ -135,18 +135,22 @@ def keyword_similarity(texts: DataFrame, known: DataFrame, embedder: TextEmbedde
 def best_similarity(texts: DataFrame, known: DataFrame, embedder: TextEmbedder | None = None) -> DataFrame:
     """text, similarity: the greatest over all keywords, 0 if there is nothing in common."""
     best = keyword_similarity(texts, known, embedder).groupBy("text").agg(F.max("similarity").alias("similarity"))
-    return texts.select("text").distinct().join(best, "text", "left").select("text", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
+    return texts.select("text").distinct().join(best.hint("merge"), "text", "left").select("text", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
 
 
 def header_rows(rows: DataFrame, threshold: float = 0.8, embedder: TextEmbedder | None = None) -> DataFrame:
-    """The first row of each document, from the top, with a cell more similar to a keyword than the threshold."""
+    """The first row of each document, from the top, with a cell more similar to a keyword than the threshold.
+
+    Joins are merged: by the bytes of its files, of which repeated boxes take few, a table of
+    millions of rows would count as small and go to the driver to be broadcast.
+    """
     lowered = rows.select(*P, "group_no", "y0", F.explode(F.transform("texts", lambda t: F.lower(t))).alias("text"))
     known = known_vectors(rows.sparkSession, "table", embedder)
-    scored = lowered.join(best_similarity(lowered, known, embedder), "text")
+    scored = lowered.join(best_similarity(lowered, known, embedder).hint("merge"), "text")
     best = scored.groupBy(*P, "group_no").agg(F.max("similarity").alias("max_similarity")).where(F.col("max_similarity") > threshold)
     over = Window.partitionBy("doc_id").orderBy("page_number", "group_no")  # rows count from the top
     first = best.withColumn("_n", F.row_number().over(over)).where("_n = 1").drop("_n")
-    return rows.join(first, [*P, "group_no"])
+    return rows.join(first.hint("merge"), [*P, "group_no"])
 
 
 def table_structure(header: DataFrame) -> DataFrame:
@@ -158,7 +162,7 @@ def table_structure(header: DataFrame) -> DataFrame:
 
 def missing_headers(documents: DataFrame, header: DataFrame) -> DataFrame:
     """An error row for each document without a header."""
-    return documents.join(header, "doc_id", "left_anti").select("doc_id", F.lit("header").alias("stage"), F.lit("no header row").alias("message"))
+    return documents.join(header.select("doc_id").hint("merge"), "doc_id", "left_anti").select("doc_id", F.lit("header").alias("stage"), F.lit("no header row").alias("message"))
 
 
 def header_blocks(chars: DataFrame, segments: DataFrame, config: Config = Config(), embedder: TextEmbedder | None = None) -> DataFrame:
@@ -173,7 +177,7 @@ def header_blocks(chars: DataFrame, segments: DataFrame, config: Config = Config
     found = W.phrases(W.logical_cells(found, config.x_gap, config.y_proximity), config.phrase_tol)
     found = scratch_table(found.withColumn("text", strip(F.col("text"))), "phrases")  # scored by distinct text, and read again
     known = known_vectors(chars.sparkSession, "block", embedder)
-    scored = found.join(best_similarity(found.where("text <> ''"), known, embedder), "text", "left")
+    scored = found.join(best_similarity(found.where("text <> ''"), known, embedder).hint("merge"), "text", "left")
     phrase = F.struct("ordinal", F.struct("text", *BOX).alias("p"))
     spoken = F.col("text") != ""
     blocks = scored.groupBy(*W.BAND).agg(
@@ -182,6 +186,6 @@ def header_blocks(chars: DataFrame, segments: DataFrame, config: Config = Config
         F.every(F.upper("text").isin(COMMON) | ~spoken).alias("common"),
     ).where(F.size("phrases") >= config.min_phrases)
     score = F.when(F.col("common"), 0.0).otherwise(F.coalesce("mean", F.lit(0.0)))
-    blocks = blocks.join(of, W.BAND).withColumn("confidence", score)
+    blocks = blocks.join(of.hint("merge"), W.BAND).withColumn("confidence", score)
     over = Window.partitionBy("doc_id").orderBy(F.desc(F.round("confidence", 9)), "page_number", "lower_y")
     return blocks.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= config.top_blocks).select(*P, "rank", "lower_y", "upper_y", "confidence", "phrases")

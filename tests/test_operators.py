@@ -371,3 +371,22 @@ def test_pages_through_the_pdf_library(spark, tmp_path):
     assert [(r.doc_id, r.message) for r in errors.collect()] == [("b", "no pages")]
     first = frames["chars"].orderBy("page_number", "seq").first()
     assert (first.doc_id, first.page_number, first.text, first.size, first.x1) == ("a", 1, "c", 9.0, 3.0)
+
+
+def test_only_the_keywords_are_broadcast_for_headers(spark):
+    """Files of repeated values take few bytes however many rows they have, so the plan may not go by them."""
+    from pagegrid.operators import headers
+    from pagegrid.plans.document import Documents
+    from pagegrid.runtime import scratch_table
+
+    at = "double(100 * (id % 3))"
+    table = spark.range(3000).selectExpr(
+        "string(id div 3) doc_id", "1 page_number", "int(id % 3) cell_no", "int(id % 3) ordinal", f"{at} x0", "0d y0", f"{at} + 100 x1", "20d y1", "element_at(array('Date', 'x', 'Amount'), int(id % 3) + 1) text"
+    )
+    found = scratch_table(table, "cells")
+    documents = Documents({"pages": found.selectExpr("doc_id", "page_number", "1d width", "1d height")})
+    documents.__dict__["cells"] = found
+    errors = headers.missing_headers(found.select("doc_id").distinct(), documents.header_row)
+    for name, df, rows in (("header_row", documents.header_row, 1000), ("table_structure", documents.table_structure, 1000), ("body", documents.body(), 0), ("counts", documents.counts(), 1000), ("errors", errors, 0)):
+        assert df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") <= 1, name
+        assert df.count() == rows, name
