@@ -25,7 +25,7 @@ def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup: of texts linked at a similarity of 0.8 or more in shingles of five words the smallest id stays."""
+    """Near-dedup: SimHash fingerprints, and bands for what these leave apart; of texts linked at 0.8 or more of their five-word shingles the smallest id stays."""
     attach_workers(spark)
     return drop_near_copies(docs)
 

@@ -1,4 +1,4 @@
-"""Near copies: MinHash bands of word shingles give the candidates, the shingle sets themselves decide."""
+"""Near copies: SimHash fingerprints and MinHash bands of word shingles give the candidates, the shingle sets themselves decide."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagegrid.llm.simhash import fingerprints, links
 from pagegrid.llm.textwords import SPACED, Block, blocks, mix, powers, words
 from pagegrid.operators.graph import connected_components
 from pagegrid.runtime import scratch_table
@@ -61,18 +62,19 @@ def band_keys(h: np.ndarray, count: np.ndarray, bands: int = BANDS, rows: int =
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, node, keys, text): node, a hash of the text's words, stands for all texts of these words."""
+    """(id, node, keys, fp, text): node, a hash of the text's words, stands for all texts of these words; fp is their SimHash."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:
+            fp = pa.array(fingerprints(batch.column(1), shingle).view(np.int64))
             for block in blocks(batch.column(1)):
                 part = batch.slice(block.first, len(block))
                 h, count, node = shingles(block, shingle)
                 keys = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(h, count).view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node.view(np.int64)), keys, part.column(1)], ["id", "node", "keys", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node.view(np.int64)), keys, fp.slice(block.first, len(block)), part.column(1)], ["id", "node", "keys", "fp", "text"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node long, keys array<long>, text string")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node long, keys array<long>, fp long, text string")
 
 
 def _sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -124,12 +126,22 @@ def _labels(sets: DataFrame, found: DataFrame) -> DataFrame:
     return scratch_table(joined.select("node", "least", F.coalesce("component", "node").alias("label")), "labels")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8, bucket: int = 8) -> DataFrame:
+def by_fingerprint(sets: DataFrame, distance: int) -> DataFrame:
+    """Candidates (a, b), nodes whose SimHash differs in at most `distance` bits; one node stands for all of its fingerprint."""
+    prints = scratch_table(sets.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+    same = sets.join(prints.hint("merge"), "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    one, two = (prints.select(F.col("fp").alias(c), F.col("first").alias(f"node_{c}")).hint("merge") for c in "ab")
+    close = links(prints.select("fp"), distance).distinct().join(one, "a").join(two, "b")
+    return same.unionByName(close.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8, bucket: int = 8, distance: int = 2) -> DataFrame:
     """One row per input row: id, component_id, the smallest id reachable over links.
 
     A-Z are lower-cased; words are runs without white space. Texts link when of the distinct
     shingles of `shingle` words (a shorter text: all its words) of both at least `least` are
-    in both. Candidates meet in a band; each is checked by its whole text. Bands' groups of
+    in both. Candidates have SimHash fingerprints of these shingles that differ in at most
+    `distance` bits, or meet in a band; each is checked by its whole text. Bands' groups of
     more than `bucket` texts are first compared with one of their own, the hub; then those
     that are not connected yet are compared with each other, so that the components are
     those of all pairs that meet. Distances to the hub (triangle inequality) and bits that
@@ -137,7 +149,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null ids link as well, and never name a component that has another id.
     """
     table = scratch_table(sketches(docs, id_col, text_col, shingle), "sketches")
-    sets = scratch_table(table.groupBy("node").agg(F.min("id").alias("least"), F.first("keys").alias("keys")), "sets")
+    sets = scratch_table(table.groupBy("node").agg(F.min("id").alias("least"), F.first("keys").alias("keys"), F.first("fp").alias("fp")), "sets")
     keyed = sets.select("node", F.explode("keys").alias("k"))
     turn = F.xxhash64("k")  # each group has a hub of its own
     sizes = keyed.groupBy("k").agg(F.count("*").alias("c"), F.min(F.col("node").bitwiseXOR(turn)).alias("hub")).where("c > 1")
@@ -145,7 +157,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = scratch_table(keyed.join(sizes.hint("merge"), "k").select("k", "c", "hub", "node"), "members")
     small, large = members.where(F.col("c") <= bucket), members.where((F.col("c") > bucket) & (F.col("node") != F.col("hub")))
     few = small.select("k", F.col("node").alias("a")).join(small.select("k", F.col("node").alias("b")).hint("merge"), "k").where("a < b").select("a", "b")
-    pairs = scratch_table(few.unionByName(large.select(F.col("node").alias("a"), F.col("hub").alias("b"))).distinct(), "pairs")
+    met = few.unionByName(large.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    pairs = scratch_table(by_fingerprint(sets, distance).unionByName(met).distinct(), "pairs")
     wanted = scratch_table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
     # Texts of the same words have the same shingles: any one of them will do.
     texts = table.select("node", "text").join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))

@@ -157,6 +157,20 @@ def test_near_copies_of_similarity(spark, bucket):
     assert got == dict(enumerate(want))
 
 
+def test_near_copies_link_by_fingerprint(spark, monkeypatch):
+    from pagegrid.llm import near_copies as module
+
+    rng = random.Random(12)
+    long = [f"w{rng.randrange(10_000)}" for _ in range(600)]
+    texts = [" ".join(long), " ".join(long + ["end"]), " ".join(f"v{i}" for i in range(50)), "", " "]
+    # Bands that never agree leave only the fingerprints to bring two texts together.
+    monkeypatch.setattr(module, "band_keys", lambda h, count: rng_keys(len(count)))
+    rng_keys = lambda n: np.random.default_rng().integers(1 << 63, size=(n, module.BANDS)).astype(np.uint64)
+    found = near_copies(docs(spark, texts))
+    got = [r.component_id for r in found.orderBy("doc_id").collect()]
+    assert got == [0, 0, 2, 3, 3]
+
+
 def test_near_copies_go(spark):
     rng = random.Random(7)
     base = spoken(rng, 200, 3000).split()
