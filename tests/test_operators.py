@@ -390,3 +390,9 @@ def test_only_the_keywords_are_broadcast_for_headers(spark):
     for name, df, rows in (("header_row", documents.header_row, 1000), ("table_structure", documents.table_structure, 1000), ("body", documents.body(), 0), ("counts", documents.counts(), 1000), ("errors", errors, 0)):
         assert df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") <= 1, name
         assert df.count() == rows, name
+
+
+def test_equal_intervals_join_no_earlier_one(spark):
+    rows = [(1, 160.0, 169.0), (1, 220.0, 226.0), (1, 400.0, 415.0), (1, 400.0, 415.0), (1, 470.0, 485.0), (2, 5.0, 6.0), (2, 5.0, 6.0), (2, 8.0, 9.0)]
+    got = intervals.merge_intervals(spark.createDataFrame(rows, "k int, a double, b double"), ["k"], "a", "b")
+    assert sorted(map(tuple, got.collect())) == [*rows[:3], rows[4], (2, 5.0, 9.0)]
