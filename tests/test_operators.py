@@ -396,3 +396,10 @@ def test_equal_intervals_join_no_earlier_one(spark):
     rows = [(1, 160.0, 169.0), (1, 220.0, 226.0), (1, 400.0, 415.0), (1, 400.0, 415.0), (1, 470.0, 485.0), (2, 5.0, 6.0), (2, 5.0, 6.0), (2, 8.0, 9.0)]
     got = intervals.merge_intervals(spark.createDataFrame(rows, "k int, a double, b double"), ["k"], "a", "b")
     assert sorted(map(tuple, got.collect())) == [*rows[:3], rows[4], (2, 5.0, 9.0)]
+
+
+def test_equal_lines_change_no_cluster(spark):
+    lines = [(1, 160.0, 10.0, 169.0), (1, 220.0, 12.0, 226.0), (1, 400.0, 10.0, 415.0), (1, 470.0, 12.0, 485.0), (2, 5.0, 1.0, 6.0)]
+    df = spark.createDataFrame([(k, a, y, b, y) for k, a, y, b in lines * 3], "k int, x0 double, y0 double, x1 double, y1 double")
+    got = intervals.cluster_lines(df, "y", keys=["k"])
+    assert sorted(map(tuple, got.collect())) == [(k, a, 11.0 if k == 1 else y, b, 11.0 if k == 1 else y) for k, a, y, b in lines]
