@@ -403,3 +403,10 @@ def test_equal_lines_change_no_cluster(spark):
     df = spark.createDataFrame([(k, a, y, b, y) for k, a, y, b in lines * 3], "k int, x0 double, y0 double, x1 double, y1 double")
     got = intervals.cluster_lines(df, "y", keys=["k"])
     assert sorted(map(tuple, got.collect())) == [(k, a, 11.0 if k == 1 else y, b, 11.0 if k == 1 else y) for k, a, y, b in lines]
+
+
+def test_equal_lines_change_no_first_cluster(spark):
+    lines = [(1, 400.0, 12.0, 415.0, 0), (1, 160.0, 5.0, 169.0, 1), (1, 220.0, 7.0, 226.0, 2), (1, 470.0, 12.0, 485.0, 3), (1, 300.0, 13.0, 306.0, 4)]
+    df = spark.createDataFrame([(k, a, y, b, y, s) for k, a, y, b, s in lines * 3], "k int, x0 double, y0 double, x1 double, y1 double, seq int")
+    got = intervals.cluster_lines(df, "y", keys=["k"], first_seen="seq").select("k", "x0", "y0", "x1")
+    assert sorted(map(tuple, got.collect())) == [(1, 160.0, 6.0, 169.0), (1, 220.0, 6.0, 226.0), (1, 300.0, 13.0, 306.0), (1, 400.0, 12.0, 415.0), (1, 470.0, 12.0, 485.0)]
