@@ -261,7 +261,7 @@ def raster_corners(spark, sf_dir):
 
 @query(DRAWN + "SELECT doc_id, page_number, CAST(row_number() OVER (PARTITION BY doc_id, page_number ORDER BY x0, y0 DESC) - 1 AS INTEGER) AS cell_no, x0, y0, x1, y1, x1 - x0 AS width, y1 - y0 AS height, text FROM boxes")
 def cells_roundtrip(spark, sf_dir):
-    return _ints(_documents(spark, sf_dir).cells.drop("ordinal"), *BOX, "width", "height", "cell_no")
+    return _ints(_documents(spark, sf_dir).found_cells().drop("ordinal"), *BOX, "width", "height", "cell_no")
 
 
 ORDINAL = "CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_number, y0 DESC, x0) - 1 AS INTEGER) AS ordinal"
@@ -269,12 +269,12 @@ ORDINAL = "CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_number, y0
 
 @query(DRAWN + f"SELECT doc_id, page_number, {ORDINAL}, x0, y0, text FROM boxes")
 def document_cells(spark, sf_dir):
-    return _ints(_documents(spark, sf_dir).cells.select(*P, "ordinal", "x0", "y0", "text"), "x0", "y0", "ordinal")
+    return _ints(_documents(spark, sf_dir).found_cells().select(*P, "ordinal", "x0", "y0", "text"), "x0", "y0", "ordinal")
 
 
 @query(DRAWN + f"SELECT doc_id, ordinal, format('Pg: {{}}, Cell {{}}: Cell(Pg:{{}}, ({{}}, {{}})-({{}}, {{}})), Text: ''{{}}''', page_number, ordinal, page_number, x0, y0, x1, y1, text) AS line FROM (SELECT *, {ORDINAL} FROM boxes)")
 def cell_sink_lines(spark, sf_dir):
-    return _ints(sinks.document_cell_lines(_documents(spark, sf_dir).cells), "ordinal")
+    return _ints(sinks.document_cell_lines(_documents(spark, sf_dir).found_cells()), "ordinal")
 
 
 @query(DRAWN + "SELECT doc_id, page_number, line AS group_no, 40 AS x0, 760 - 20 * line AS y0, 380 AS x1, 780 - 20 * line AS y1, 4 AS length, array_to_string(texts, '|') AS texts FROM r")

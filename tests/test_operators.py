@@ -456,3 +456,23 @@ def test_objects_are_packed_into_few_bytes(spark):
     bodies = [bytes(r.body) for r in packed(spark.createDataFrame(odd, kind).coalesce(1), 0).collect()]
     types = {"text": pa.string()} | dict.fromkeys(("x0", "y0", "x1", "y1"), pa.float64()) | {"seq": pa.int64()}
     assert repr(list(zip(*(c.to_pylist() for c in unpacked(bodies, types)[1].values())))) == repr([r[2:] for r in odd])
+
+
+def test_pages_of_a_document_are_packed_together(spark):
+    """Texts that differ on each page take little more than themselves, and a page's frames one row for some pages."""
+    rng = random.Random(31)
+    texts = lambda: ["%d-%02d-%02d" % (rng.randrange(1992, 1999), rng.randrange(1, 13), rng.randrange(1, 29)), rng.choice(["1-URGENT", "5-LOW"]), "O", "%.2f" % rng.uniform(1000, 400000)]
+    rows = [("d", p, c, 40.0 + 80 * col + 5 * k, 700.0 - 20 * y, 45.0 + 80 * col + 5 * k, 710.0 - 20 * y, (4 * y + col) * 1000 + k) for p in range(1, 9) for y in range(8) for col, t in enumerate(texts()) for k, c in enumerate(t)]
+    kind = f"{KEY}, text string, x0 double, y0 double, x1 double, y1 double, seq long"
+    found = packed(spark.createDataFrame(rows, kind).coalesce(1), 0).collect()
+    assert len(found) == 2 and sum(len(r.body) for r in found) < len(rows) * 0.95
+
+
+def test_cell_lines_write_no_cells(spark, tmp_path):
+    from pagegrid.plans.queries import QUERIES
+    from pagegrid.runtime import scratch_mark
+
+    spark.sql("select 7L o_orderkey, 3L o_custkey, 'O' o_orderstatus, 12.5D o_totalprice, timestamp'1997-03-01' o_orderdate, '5-LOW' o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    mark = scratch_mark()
+    lines = [r.line for r in QUERIES["cell_sink_lines"](spark, str(tmp_path)).orderBy("ordinal").collect()]
+    assert scratch_mark() == mark and len(lines) == 8 and lines[7] == "Pg: 1, Cell 7: Cell(Pg:1, (280, 740)-(380, 760)), Text: '12.50'"
