@@ -413,7 +413,7 @@ def lattice_cells(spark, sf_dir):
 )
 def merge_small_cells(spark, sf_dir):
     """Lines reach 2 points over the grid: the cells there go into their neighbours, but for one down the right side."""
-    return _ints(LatticePages(R.render(spark, sf_dir)).cells.select(*P, "cell_no", *BOX, "text"))
+    return _ints(LatticePages(R.render(spark, sf_dir)).merged_cells().select(*P, "cell_no", *BOX, "text"))
 
 
 def _numbered(spark, sf_dir):

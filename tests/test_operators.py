@@ -240,7 +240,6 @@ def test_clean_coords_page_by_page(spark):
 
 
 def test_first_seen_line_seeds_the_first_cluster(spark):
-    from pagegrid.operators import lattice as L
     from pagegrid.schema import Config
 
     ys = [30.0, 10.0, 12.0, 33.0]
@@ -476,3 +475,37 @@ def test_cell_lines_write_no_cells(spark, tmp_path):
     mark = scratch_mark()
     lines = [r.line for r in QUERIES["cell_sink_lines"](spark, str(tmp_path)).orderBy("ordinal").collect()]
     assert scratch_mark() == mark and len(lines) == 8 and lines[7] == "Pg: 1, Cell 7: Cell(Pg:1, (280, 740)-(380, 760)), Text: '12.50'"
+
+
+def test_lattice_pages_give_the_cells_of_the_plain_way(spark):
+    from pagegrid.plans.document import LatticePages
+    from pagegrid.schema import Config
+
+    rng = random.Random(37)
+    pages, chars, lines, rects = [], [], [], []
+    for p in range(70):
+        key = (f"d{p % 7}", p)
+        if p % 11:
+            pages.append((*key, 200.0 + p, 150.5))
+        off = rng.choice([0.0, 0.25, -20.0, 3.0])
+        xs, ys = ([off + 18 * v + rng.choice([0, 0, 0, 1, 2, 4.5, 6]) for v in range(rng.randrange(1, 7))] for _ in "xy")
+        for n in range(rng.randrange(0, 25)):
+            a, b, c, d = rng.choice(xs), rng.choice(xs), rng.choice(ys), rng.choice(ys)
+            lines.append((*key, "edge", *rng.choice([(min(a, b), c, max(a, b), c), (a, min(c, d), a, max(c, d)), (b, c, a, c), (a, c, b, d)]), rng.choice([n, None])))
+        lines += [(*key, "line", xs[0] - rng.choice([0, 2]), y, xs[-1], y, 99) for y in ys] + [(*key, "edge", x, ys[0], x, ys[-1], 100 + int(x)) for x in xs if rng.random() < 0.8]
+        for n in range(rng.randrange(0, 6)):
+            a, c = rng.choice(xs), rng.choice(ys)
+            rects.append((*key, a, c, a + rng.choice([2.0, 18.0, 36.0]), c + rng.choice([2.0, 18.0]), rng.choice([n, None])))
+        for n in range(rng.randrange(0, 60)):
+            x, y = off + rng.uniform(-10, 90), off + rng.uniform(-10, 90)
+            chars.append((*key, rng.choice(["a", "é", " ", " ", "", "𝄞b", None]), x, y, x + rng.uniform(-2, 6), y + rng.uniform(-8, 12), rng.choice([n, n, None, n + 2**40])))
+    box = ", ".join(f"{c} double" for c in C.BOX)
+    frames = {"pages": (pages, "width double, height double"), "chars": (chars, f"text string, {box}, seq long"), "segments": (lines, f"kind string, {box}, seq long"), "rects": (rects, f"{box}, seq long")}
+    frames = {n: spark.createDataFrame(rows, f"{KEY}, {kind}") for n, (rows, kind) in frames.items()}
+    for config in (Config(), Config(first_seen=True)):
+        plain = LatticePages(frames, config)
+        want = merge_small_cells(plain.found_cells, config.tol).collect()
+        found = plain.merged_cells()
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        tidy = lambda rows: sorted((*r[:3], *(round(v, 6) for v in r[3:7]), r[7]) for r in rows)
+        assert tidy(found.collect()) == tidy(want) and len(want) > 100 and sum(r.text != "" for r in want) > 40
